@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ontarmac.checks import feature_queries
+from ontarmac.checks import feature_queries, model_queries, request_queries
 
-MODULES = [feature_queries]
+MODULES = [feature_queries, model_queries, request_queries]
 
 
 def queries() -> dict:

@@ -31,8 +31,8 @@ def joined_code(*columns: str | Column) -> Column:
 
 
 def named_codes(message: str | Column) -> Column:
-    """Every three-letter word of a message, in capitals and in order."""
-    return F.regexp_extract_all(F.upper(as_column(message)), F.lit(r"\b([A-Z]{3})\b"), F.lit(1))
+    """Every word of three letters from A to Z in a message, in capitals and in order."""
+    return F.regexp_extract_all(F.upper(as_column(message)), F.lit(r"(?U)\b([A-Z]{3})\b"), F.lit(1))
 
 
 def intent(message: str | Column) -> Column:

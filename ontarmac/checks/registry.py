@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ontarmac.checks import feature_queries, model_queries, request_queries
+from ontarmac.checks import archive_queries, feature_queries, model_queries, request_queries
 
-MODULES = [feature_queries, model_queries, request_queries]
+MODULES = [feature_queries, request_queries, archive_queries, model_queries]
 
 
 def queries() -> dict:

@@ -53,8 +53,8 @@ def message_answers(spark: SparkSession, folder: str) -> DataFrame:
         "reasons",
     )
     messages = T.table(spark, folder, "conversations").select("conv_id", "turn", "text")
-    asked = messages.withColumn("flight_id", F.expr("case when conv_id % 3 = 0 then conv_id + 1 end"))
-    return M.answers(asked.join(flights, "flight_id", "left")).select(
+    about = (F.col("flight_id") == F.col("conv_id") + 1) & (F.col("conv_id") % 3 == 0)
+    return M.answers(messages.join(flights, about, "left")).select(
         "conv_id", "turn", "tool_name", "assistant_message", "failed"
     )
 

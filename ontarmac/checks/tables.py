@@ -101,7 +101,7 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
 def listing_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Archive listing lines: one per order, in both file name variants."""
     return table(spark, folder, "orders").selectExpr(
-        "concat(month(o_orderdate), '/', day(o_orderdate), '/', 2000 + o_orderkey % 20, '  ',"
+        "concat(month(o_orderdate), '/', least(day(o_orderdate), 28), '/', 2000 + o_orderkey % 20, '  ',"
         " 1 + o_orderkey % 12, ':', lpad(cast(o_orderkey % 60 as string), 2, '0'),"
         " case when o_orderkey % 2 = 0 then ' AM' else ' PM' end, '   ', cast(o_totalprice as bigint) % 50000,"
         " '  <A HREF=\"', case when o_orderkey % 5 = 0 then '' else '/PREZIP/' end,"
@@ -220,7 +220,7 @@ AIRPORTS_SQL = (
 
 LISTING_SQL = """
 lines AS (
-  SELECT concat(month(o_orderdate), '/', day(o_orderdate), '/', 2000 + o_orderkey % 20, '  ',
+  SELECT concat(month(o_orderdate), '/', least(day(o_orderdate), 28), '/', 2000 + o_orderkey % 20, '  ',
     1 + o_orderkey % 12, ':', lpad(cast(o_orderkey % 60 AS varchar), 2, '0'),
     CASE WHEN o_orderkey % 2 = 0 THEN ' AM' ELSE ' PM' END, '   ', cast(trunc(o_totalprice) AS bigint) % 50000,
     '  <A HREF="', CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '/PREZIP/' END,

@@ -70,9 +70,9 @@ def in_months(df: DataFrame, start: str, end: str) -> DataFrame:
 
 def one_per_month(df: DataFrame, last: bool = False) -> DataFrame:
     """Of several archives of a month the first by path, or the last."""
-    pick = F.max_by if last else F.min_by
+    pick = F.max if last else F.min
     others = [c for c in df.columns if c not in ("year", "month", "path")]
-    row = pick(F.struct("path", *others), "path").alias("row")
+    row = pick(F.struct("path", *others)).alias("row")
     return df.groupBy("year", "month").agg(row).select("year", "month", "row.*")
 
 

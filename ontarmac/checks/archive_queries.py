@@ -66,8 +66,8 @@ def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def archives(spark: SparkSession, folder: str) -> DataFrame:
     """All flights packed into archives, in the form Spark reads binary files."""
-    flights = T.flights(spark, folder).select(*K.CURATED_COLUMNS)
-    return flights.mapInPandas(_zip_batches, "path string, content binary")
+    landed = T.landed_flights(spark, folder).withColumnsRenamed({"year": "Year", "month": "Month"})
+    return landed.select(*K.CURATED_COLUMNS).mapInPandas(_zip_batches, "path string, content binary")
 
 
 HEADER = ",".join(f'"{c}"' for c in K.CURATED_COLUMNS) + ","

@@ -11,11 +11,11 @@ _FEATURES = {"train_until": T.TRAIN_UNTIL, "valid_until": T.VALID_UNTIL}
 
 
 def feature_table(spark: SparkSession, folder: str) -> DataFrame:
-    return X.feature_table(T.flights(spark, folder), **_FEATURES)
+    return X.feature_table(T.landed_flights(spark, folder), **_FEATURES)
 
 
 def history_table(spark: SparkSession, folder: str) -> DataFrame:
-    return H.history_feature_table(T.flights(spark, folder), **_FEATURES)
+    return H.history_feature_table(T.landed_flights(spark, folder), **_FEATURES)
 
 
 def late_routes(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,15 +27,15 @@ KEY = ["FlightDate", "Reporting_Airline", "Origin", "Dest", "CRSDepTime"]
 QUERIES = {
     "flights_view": T.flights,
     "valid_flights": lambda s, d: X.valid_flights(T.flights(s, d)),
-    "feature_time": lambda s, d: X.with_schedule(X.valid_flights(T.flights(s, d))).select(
+    "feature_time": lambda s, d: X.with_schedule(X.valid_flights(T.landed_flights(s, d))).select(
         *KEY, "CRSArrTime", "sched_dep_minutes", "sched_arr_minutes", "sched_dep_hour", "sched_arr_hour",
         "dep_time_bucket",
     ),
-    "feature_calendar": lambda s, d: X.with_calendar(T.flights(s, d)).select(
+    "feature_calendar": lambda s, d: X.with_calendar(T.landed_flights(s, d)).select(
         *KEY, "flight_date", "day_of_year", "week_of_year", "is_weekend", "season"
     ),
-    "feature_route": lambda s, d: X.with_route(T.flights(s, d)).select(*KEY, "route", "carrier_route"),
-    "feature_label_split": lambda s, d: X.with_label_and_split(T.flights(s, d), **_FEATURES).select(
+    "feature_route": lambda s, d: X.with_route(T.landed_flights(s, d)).select(*KEY, "route", "carrier_route"),
+    "feature_label_split": lambda s, d: X.with_label_and_split(T.landed_flights(s, d), **_FEATURES).select(
         *KEY, "label_delay_15", "arrival_delay_minutes", "split"
     ),
     "feature_table": feature_table,
@@ -44,7 +44,7 @@ QUERIES = {
     "year_window": lambda s, d: X.year_window(feature_table(s, d), 1997, 2000).select(
         "year", "month", "route", "flight_date", "split"
     ),
-    "years_in": lambda s, d: X.years_in(T.flights(s, d), [1998, 1999, 2000]).select(*KEY, "Year"),
+    "years_in": lambda s, d: X.years_in(T.landed_flights(s, d), [1998, 1999, 2000]).select(*KEY, "year"),
     "split_filter": lambda s, d: X.of_split(feature_table(s, d), "valid").select(
         "split", "year", "carrier_route", "flight_date", "label_delay_15"
     ),
@@ -98,7 +98,7 @@ ORACLES = {
       GROUP BY label_delay_15 ORDER BY label_delay_15""",
     "year_window": f"""{_W} SELECT year, month, route, flight_date, split FROM features
       WHERE year >= 1997 AND year <= 2000""",
-    "years_in": f"""WITH {T.FLIGHTS_SQL} SELECT {_KEY_SQL}, "Year" FROM flights
+    "years_in": f"""WITH {T.FLIGHTS_SQL} SELECT {_KEY_SQL}, cast("Year" AS integer) AS year FROM flights
       WHERE "Year" IN ('1998', '1999', '2000')""",
     "split_filter": f"""{_W} SELECT split, year, carrier_route, flight_date, label_delay_15 FROM features
       WHERE split = 'valid'""",

@@ -11,7 +11,7 @@ from ontarmac.checks import tables as T
 from ontarmac.checks.feature_queries import feature_table
 from ontarmac.operators import evaluation as E, features as X, leaderboard as L, sampling, stages
 from ontarmac.plans import serving, training
-from ontarmac.session import scratch_path
+from ontarmac.session import cut, scratch_path
 from ontarmac.sources import curated
 
 SAMPLE_KEY = ["flight_date", "carrier_route", "sched_dep_minutes"]
@@ -43,7 +43,7 @@ def metrics(spark: SparkSession, folder: str) -> DataFrame:
 def roc_pr_auc(spark: SparkSession, folder: str) -> DataFrame:
     """Areas over nearly as many scores as flights."""
     rows = feature_table(spark, folder).selectExpr("split", "label_delay_15", f"{EXACT_SCORE} as score", "0.0D as prediction")
-    areas = E.curve_areas(E.score_counts(rows, ["split"], "score"), ["split"])
+    areas = E.curve_areas(cut(E.score_counts(rows, ["split"], "score")), ["split"])
     return areas.select("split", *[F.round(c, 9).alias(c) for c in ("roc_auc", "pr_auc")])
 
 

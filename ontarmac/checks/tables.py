@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontarmac import constants as K
+from ontarmac.session import scratch_path
+from ontarmac.sources import curated
 
 # the test tables reach from 1995 to 2001
 TRAIN_UNTIL = 1999
@@ -77,6 +79,23 @@ def flights(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_curated_roots: dict[tuple[str, str], str] = {}
+
+
+def landed_flights(spark: SparkSession, folder: str) -> DataFrame:
+    """The flight table as feature jobs find it: curated Parquet by year and month.
+
+    Written once per application and test folder.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _curated_roots:
+        root = scratch_path(spark, "curated-flights")
+        dated = flights(spark, folder).withColumnsRenamed({"Year": "year", "Month": "month"})
+        curated.write_curated(dated.hint("rebalance", "year", "month"), root)
+        _curated_roots[key] = root
+    return curated.read_curated(spark, _curated_roots[key])
+
+
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """Scoring requests: one per order, some of them faulty."""
     codes = "array(" + ", ".join(f"'{c}'" for c in CODES) + ")"

@@ -11,8 +11,7 @@ MINUTES_PER_DAY = 1440
 
 def hhmm_to_minutes(column: str | Column) -> Column:
     """Minutes after midnight. 2400 gives 1440; past four digits only the first four count."""
-    value = number(column)
-    value = F.when(value > 9999, F.substring(value.cast("string"), 1, 4).cast("int")).otherwise(value)
+    value = F.substring(number(column).cast("string"), 1, 4).try_cast("int")
     # HH*100 + MM less 40 for each hour is HH*60 + MM
     return (value - F.floor(value / 100) * 40).cast("int")
 

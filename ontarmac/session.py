@@ -44,6 +44,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once on the shared folder; later stages survive the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and read it back.
+
+    What follows starts from files: it survives the loss of executors, reads the columns it needs only, and
+    Spark knows the real size when it chooses joins.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

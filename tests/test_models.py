@@ -39,7 +39,7 @@ def predictions(table, score):
 ])
 def test_metrics_match_the_evaluators(table, score):
     scored = predictions(table, score)
-    for slices in (2, 7, 256):
+    for slices in (2, 8, 256):
         rows = {r["split"]: r for r in E.evaluate(scored, ["split"], E.class_score(), slices=slices).collect()}
         for split in ("valid", "test"):
             part = X.of_split(scored, split)

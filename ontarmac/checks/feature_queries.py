@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontarmac.checks import tables as T
 from ontarmac.operators import features as X, history as H, summaries as S
+from ontarmac.sources import curated
 
 _FEATURES = {"train_until": T.TRAIN_UNTIL, "valid_until": T.VALID_UNTIL}
 
@@ -39,6 +40,8 @@ QUERIES = {
         *KEY, "label_delay_15", "arrival_delay_minutes", "split"
     ),
     "feature_table": feature_table,
+    "feature_rows": lambda s, d: S.row_count(feature_table(s, d)),
+    "flights_preview": lambda s, d: curated.preview(T.landed_flights(s, d)),
     "split_counts": lambda s, d: S.split_counts(feature_table(s, d)),
     "label_distribution": lambda s, d: S.label_distribution(X.of_split(feature_table(s, d), "train")),
     "year_window": lambda s, d: X.year_window(feature_table(s, d), 1997, 2000).select(
@@ -93,6 +96,7 @@ ORACLES = {
       cast("ArrDelay" AS double) AS arrival_delay_minutes, CASE WHEN cast("Year" AS int) <= {T.TRAIN_UNTIL} THEN 'train'
       WHEN cast("Year" AS int) = {T.VALID_UNTIL} THEN 'valid' ELSE 'test' END AS split FROM flights""",
     "feature_table": f"{_W} SELECT * FROM features",
+    "feature_rows": f"{_W} SELECT count(*) AS rows FROM features",
     "split_counts": f"{_W} SELECT split, count(*) AS count FROM features GROUP BY split ORDER BY split",
     "label_distribution": f"""{_W} SELECT label_delay_15, count(*) AS count FROM features WHERE split = 'train'
       GROUP BY label_delay_15 ORDER BY label_delay_15""",

@@ -8,9 +8,16 @@ from ontarmac.operators import features as X, history as H, sampling, summaries
 from ontarmac.sources import curated
 
 
-def build_features(spark: SparkSession, curated_path: str, output: str, overwrite: bool = False) -> DataFrame:
+def flights_for(spark: SparkSession, curated_path: str, dev_subset: bool) -> DataFrame:
+    flights = curated.read_curated(spark, curated_path)
+    return sampling.dev_subset(X.valid_flights(flights)) if dev_subset else flights
+
+
+def build_features(
+    spark: SparkSession, curated_path: str, output: str, overwrite: bool = False, dev_subset: bool = False
+) -> DataFrame:
     """Write the 33-column feature table; returns its rows per split, counted from what was written."""
-    curated.write_features(X.feature_table(curated.read_curated(spark, curated_path)), output, overwrite)
+    curated.write_features(X.feature_table(flights_for(spark, curated_path, dev_subset)), output, overwrite)
     return summaries.split_counts(curated.read_features(spark, output))
 
 
@@ -18,8 +25,6 @@ def build_history_features(
     spark: SparkSession, curated_path: str, output: str, overwrite: bool = False, dev_subset: bool = False
 ) -> DataFrame:
     """Write the 35-column feature table, of all flights or of the small development subset."""
-    flights = curated.read_curated(spark, curated_path)
-    if dev_subset:
-        flights = sampling.dev_subset(X.valid_flights(flights))
+    flights = flights_for(spark, curated_path, dev_subset)
     curated.write_features(H.history_feature_table(flights), output, overwrite)
     return summaries.split_counts(curated.read_features(spark, output))

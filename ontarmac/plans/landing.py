@@ -41,16 +41,30 @@ def land(
 
     With ``overwrite`` months that exist are replaced. All archives are checked before any is converted.
     """
-    files = A.read_archives(spark, input_dir).select("path", "length")
-    months = A.one_per_month(A.in_months(A.manifest(files), start, end), last=overwrite)
+    done = land_files(A.read_archives(spark, input_dir), output_root, start, end, overwrite, hot_bytes)
+    if done.isEmpty():
+        raise ValueError("no archives found for these months")
+    return done
+
+
+def land_files(
+    files: DataFrame,
+    output_root: str,
+    start: str = FIRST_MONTH,
+    end: str = LAST_MONTH,
+    overwrite: bool = False,
+    hot_bytes: int = A.HOT_ARCHIVE_BYTES,
+) -> DataFrame:
+    """:func:`land` for archives already listed; there may be none."""
+    spark = files.sparkSession
+    listed = A.in_months(A.manifest(files.select("path", "length")), start, end)
+    months = A.one_per_month(listed, last=overwrite)
     landed = A.landed_months(spark, output_root).withColumn("landed", F.lit(True))
     status = F.when(F.col("landed") & F.lit(not overwrite), "skip").otherwise("ok")
     todo = cut(
         months.join(landed, ["year", "month"], "left")
         .select("year", "month", "path", "length", status.alias("status"), A.target_path(output_root).alias("target"))
     )
-    if todo.isEmpty():
-        raise ValueError("no archives found for these months")
     # file names only: the driver lists these files anyway to plan the scan
     pending = todo.filter(F.col("status") == "ok").select("path", "length").collect()
     if pending:
@@ -58,9 +72,11 @@ def land(
     return todo.select("year", "month", "status", "target").orderBy("year", "month")
 
 
-def convert(spark: SparkSession, lengths: dict[str, int], output_root: str, hot_bytes: int = A.HOT_ARCHIVE_BYTES) -> None:
-    """Check the archives, then write their rows."""
-    report = cut(A.inspect(A.read_archives(spark, list(lengths))))
+def convert(
+    spark: SparkSession, lengths: dict[str, int], output_root: str, hot_bytes: int = A.HOT_ARCHIVE_BYTES
+) -> None:
+    """Check the archives, then write their rows. Archives with the same header are parsed together."""
+    report = cut(A.inspect(A.read_archives(spark, list(lengths))).withColumn("layout", F.xxhash64("header")))
     bad = report.filter(~F.col("is_zip") | (F.col("csv_members") != 1)).select("path", "is_zip", "csv_members")
     faults = bad.limit(20).collect()
     if faults:
@@ -68,12 +84,12 @@ def convert(spark: SparkSession, lengths: dict[str, int], output_root: str, hot_
             "archives without exactly one CSV file: "
             + ", ".join(f"{r['path']} ({r['csv_members'] if r['is_zip'] else 'not a ZIP'})" for r in faults)
         )
-    layouts = report.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    parts = []
-    for layout in layouts:
-        hot = [p for p in layout["paths"] if lengths[p] > hot_bytes]
-        usual = [p for p in layout["paths"] if lengths[p] <= hot_bytes]
-        for paths, spread in ((usual, False), (hot, True)):
-            if paths:
-                parts.append(curated_rows(A.read_archives(spark, paths), layout["header"], spread))
+    headers = {r["layout"]: r["header"] for r in report.select("layout", "header").distinct().collect()}
+    groups: dict[tuple[int, bool], list[str]] = {}
+    for row in report.select("path", "layout").collect():
+        groups.setdefault((row["layout"], lengths[row["path"]] > hot_bytes), []).append(row["path"])
+    parts = [
+        curated_rows(A.read_archives(spark, paths), headers[layout], spread=hot)
+        for (layout, hot), paths in sorted(groups.items())
+    ]
     curated.write_curated(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), output_root)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ontarmac.plans import building, landing
 from ontarmac.sources import archives as A, curated, listing
+from ontarmac.streaming import arrivals
 
 NAME = "On_Time_Reporting_Carrier_On_Time_Performance_1987_present"
 HEADER = '"Year","Month","Origin","Note",\r\n'
@@ -165,3 +166,12 @@ def test_build_from_curated(spark, flights, tmp_path):
     assert len(spark.read.parquet(str(tmp_path / "h")).columns) == 35
     small = building.build_history_features(spark, root, str(tmp_path / "d"), dev_subset=True).collect()
     assert 0 < sum(r["count"] for r in small) < 0.1 * sum(r["count"] for r in split_rows)
+
+
+def test_arrivals(spark, raw, tmp_path):
+    root, seen = str(tmp_path / "curated"), str(tmp_path / "seen")
+    arrivals.land_arrivals(spark, str(raw), root, seen)
+    assert counts(spark, root) == {(2023, 12): 2, (2024, 1): 5, (2024, 2): 3}
+    put(raw, 2024, 3, HEADER + lines(2024, 3, 4))
+    arrivals.land_arrivals(spark, str(raw), root, seen)
+    assert counts(spark, root) == {(2023, 12): 2, (2024, 1): 5, (2024, 2): 3, (2024, 3): 4}

@@ -199,3 +199,11 @@ def test_reasons(spark):
         [K.REASON_NONE],
         [K.REASON_LATE_IN_DAY],
     ]
+
+
+def test_requests_from_json(spark, tmp_path):
+    (tmp_path / "r.json").write_text(
+        '{"request_id": "1", "year": 2024, "month": "x", "carrier": "AA"}\n{"request_id": "2", "year": 2024, "month": 5}\n')
+    rows = {r["request_id"]: r for r in R.with_faults(serving.read_requests(spark, str(tmp_path / "r.json"))).collect()}
+    assert rows["1"]["month"] is None and "month is missing" in rows["1"]["faults"]
+    assert "month is missing" not in rows["2"]["faults"] and "origin is missing" in rows["2"]["faults"]

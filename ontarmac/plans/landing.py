@@ -20,12 +20,10 @@ def curated_rows(archives: DataFrame, header: str, spread: bool = False) -> Data
     Each archive is unpacked and parsed by one task. ``spread`` sends the text blocks of large archives
     to other tasks before parsing.
     """
-    blocks = A.unpack(archives)
+    blocks = A.manifest(A.unpack(archives))
     if spread:
         blocks = blocks.repartition("path", "block")
-    rows = A.parse(blocks, header)
-    dated = A.manifest(rows.drop(*[c for c in rows.columns if c.lower() in ("year", "month")]))
-    return dated.drop("path", "filename")
+    return A.parse(blocks, header, keep=["year", "month"])
 
 
 def land(

@@ -16,7 +16,6 @@ from zlib import error as InflateError
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ontarmac import constants as K
 
@@ -196,19 +195,21 @@ def header_names(header: str) -> list[str]:
     ]
 
 
-def parse(blocks: DataFrame, header: str) -> DataFrame:
-    """All-string rows of text blocks under one header, with the path they came from.
+def parse(blocks: DataFrame, header: str, keep: list[str]) -> DataFrame:
+    """All-string rows of text blocks under one header, behind the block columns to ``keep``.
 
-    A row with too few or too many fields stops the job. Unnamed columns are dropped.
+    A row with too few or too many fields stops the job. Unnamed columns are dropped, and so are columns
+    named like a kept one.
     """
     names = header_names(header)
-    schema = StructType([StructField(n, StringType()) for n in names])
+    schema = ", ".join(f"f{i} string" for i in range(len(names)))  # header names may hold any character
     lines = F.split("text", _LINE_END)
     body = F.when(F.col("block") == 0, F.slice(lines, F.lit(2), F.size(lines))).otherwise(lines)
     rows = (
-        blocks.select("path", F.explode(body).alias("line"))
+        blocks.select(*keep, F.explode(body).alias("line"))
         .filter(F.trim("line") != "")
-        .select("path", F.from_csv("line", schema.simpleString(), {"mode": "FAILFAST"}).alias("row"))
+        .select(*keep, F.from_csv("line", schema, {"mode": "FAILFAST"}).alias("row"))
     )
-    named = [n for n in names if not re.fullmatch(r"_c\d+", n)]
-    return rows.select("path", *[F.col("row").getField(n).alias(n) for n in named])
+    kept = {k.lower() for k in keep}
+    named = {f"f{i}": n for i, n in enumerate(names) if not re.fullmatch(r"_c\d+", n) and n.lower() not in kept}
+    return rows.select(*keep, *[F.col("row").getField(f).alias(n) for f, n in named.items()])

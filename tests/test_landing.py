@@ -175,3 +175,9 @@ def test_arrivals(spark, raw, tmp_path):
     put(raw, 2024, 3, HEADER + lines(2024, 3, 4))
     arrivals.land_arrivals(spark, str(raw), root, seen)
     assert counts(spark, root) == {(2023, 12): 2, (2024, 1): 5, (2024, 2): 3, (2024, 3): 4}
+
+
+def test_header_names_may_hold_any_character(spark):
+    block = [("p", 0, '"a b","c,d","e`f",g:h,\n1,2,3,4,\n')]
+    rows = A.parse(spark.createDataFrame(block, A.BLOCK_SCHEMA), '"a b","c,d","e`f",g:h,', ["path"])
+    assert rows.columns == ["path", "a b", "c,d", "e`f", "g:h"] and tuple(rows.first()) == ("p", "1", "2", "3", "4")

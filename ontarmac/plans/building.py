@@ -22,9 +22,17 @@ def build_features(
 
 
 def build_history_features(
-    spark: SparkSession, curated_path: str, output: str, overwrite: bool = False, dev_subset: bool = False
+    spark: SparkSession,
+    curated_path: str,
+    output: str,
+    overwrite: bool = False,
+    dev_subset: bool = False,
+    rebalance: bool = False,
 ) -> DataFrame:
-    """Write the 35-column feature table, of all flights or of the small development subset."""
+    """Write the 35-column feature table, of all flights or of the small development subset.
+
+    ``rebalance`` is for histories of so many keys that their join shuffles the flights.
+    """
     flights = flights_for(spark, curated_path, dev_subset)
-    curated.write_features(H.history_feature_table(flights), output, overwrite)
+    curated.write_features(H.history_feature_table(flights), output, overwrite, rebalance)
     return summaries.split_counts(curated.read_features(spark, output))

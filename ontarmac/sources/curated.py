@@ -31,14 +31,16 @@ def write_curated(flights: DataFrame, root: str) -> None:
     )
 
 
-def write_features(features: DataFrame, path: str, overwrite: bool = False) -> None:
+def write_features(features: DataFrame, path: str, overwrite: bool = False, rebalance: bool = False) -> None:
     """Write a feature table by split, year and month.
 
-    The rebalance keeps files few and large, and splits a month that holds much of the data over several tasks.
+    Flights read from monthly folders need no shuffle: a task holds parts of few months, so there are about as
+    many files as input parts. For other inputs ``rebalance`` brings months together first, and splits a month
+    that holds much of the data over several tasks.
     """
+    laid_out = features.hint("rebalance", "split", "year", "month") if rebalance else features
     (
-        features.hint("rebalance", "split", "year", "month")
-        .write.mode("overwrite" if overwrite else "errorifexists")
+        laid_out.write.mode("overwrite" if overwrite else "errorifexists")
         .option("compression", "snappy")
         .partitionBy("split", "year", "month")
         .parquet(path)

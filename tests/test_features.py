@@ -132,5 +132,5 @@ def test_feature_sink(spark, flights, tmp_path):
     assert same(back.select(*X.FEATURE_COLUMNS), features_of(flights))
     with pytest.raises(Exception, match="already exists"):
         curated.write_features(features_of(flights), path)
-    curated.write_features(features_of(flights).limit(5), path, overwrite=True)
+    curated.write_features(features_of(flights).limit(5), path, overwrite=True, rebalance=True)
     assert spark.read.parquet(path).count() == 5

@@ -76,13 +76,25 @@ def test_preview_shows_the_columns_that_exist(flights):
     assert curated.table_shape(flights)["columns"] == 25
 
 
-def test_history_joins_agree(flights):
+def test_history_joins_agree(spark, flights):
     """Broadcast and salted lookups give the same rates, with one origin on a third of the rows."""
     skewed = flights.withColumn("Origin", F.when(F.crc32("CRSDepTime") % 3 == 0, "HOT").otherwise(F.col("Origin")))
     small = H.history_feature_table(skewed, 1999, 2000)
     large = H.history_feature_table(skewed, 1999, 2000, max_broadcast_rows=0)
     assert len(small.columns) == 35
     assert same(small, large)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert same(small, large)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_history_of_broadcast_rates_moves_no_flights(spark, curated_root):
+    table = H.history_feature_table(spark.read.parquet(curated_root), 1999, 2000)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
 
 
 def test_history_learns_from_training_rows_only(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ontarmac import constants as K
 from ontarmac.checks import tables
-from ontarmac.operators import evaluation as E, features as X, leaderboard as L, scoring as R, stages
+from ontarmac.operators import evaluation as E, features as X, history, leaderboard as L, scoring as R, stages
 from ontarmac.plans import serving, training
 
 SETTINGS = stages.ModelSettings(max_iter=5, rf_num_trees=3, rf_max_depth=3, gbt_max_iter=2, gbt_max_depth=2)
@@ -118,6 +118,17 @@ def test_comparison(comparison, table):
         assert shown.count() == 10 and shown.select("split").distinct().collect()[0][0] == "valid"
 
 
+def test_history_columns_can_be_model_inputs(flights):
+    table = history.history_feature_table(flights, 1999, 2000)
+    result = training.compare(
+        table, "rf", "test_f1", min_year=1999, train_fraction=1.0, valid_fraction=1.0, test_fraction=0.5,
+        settings=SETTINGS, numeric=K.NUMERIC_COLUMNS + K.HISTORY_COLUMNS)
+    assembler = result.models["rf"].stages[2]
+    assert assembler.getInputCols()[17:19] == K.HISTORY_COLUMNS
+    assert result.sampled_rows["train"] == table.filter("year = 1999").count()
+    assert result.board.first()["selection_score"] == result.board.first()["test_f1"]
+
+
 def test_shared_stages_give_the_same_model_as_a_pipeline(comparison, table):
     whole = stages.pipeline("rf", SETTINGS).fit(X.of_split(table, "train"))
     held_out = X.of_split(table, "test")

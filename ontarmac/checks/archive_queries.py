@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontarmac import constants as K
@@ -17,6 +19,8 @@ from ontarmac.plans import landing
 from ontarmac.session import scratch_path
 from ontarmac.sources import archives as A, curated, listing
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # as in the archive source
+
 OTHER_COLUMNS = [c for c in K.CURATED_COLUMNS if c not in ("Year", "Month")]
 
 

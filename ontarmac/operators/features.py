@@ -10,6 +10,7 @@ from ontarmac import constants as K
 from ontarmac.functions import calendar, clock, text
 from ontarmac.functions.casts import comparable, day, number, require_columns
 
+# fixed values: feature columns and the curated columns they are read from
 INT_COLUMNS = {
     "quarter": "Quarter",
     "month": "Month",
@@ -30,6 +31,7 @@ TEXT_COLUMNS = {
     "dest": "Dest",
     "dest_state": "DestState",
 }
+# fixed values: the feature table in order
 FEATURE_COLUMNS = (
     "year quarter month day_of_month day_of_week flight_date day_of_year week_of_year is_weekend season "
     "sched_dep_minutes sched_arr_minutes sched_dep_hour sched_arr_hour dep_time_bucket carrier origin "

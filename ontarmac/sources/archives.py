@@ -9,16 +9,21 @@ from __future__ import annotations
 import csv
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from zlib import error as InflateError
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ontarmac import constants as K
 
+# tasks get these functions themselves, so executors need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_BYTES = 1 << 20
 HOT_ARCHIVE_BYTES = 256 << 20
 

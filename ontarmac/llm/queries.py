@@ -5,13 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontarmac.llm import exact_dedup, mixing, packing, warc
+from ontarmac.llm import exact_dedup, mixing, packing, simhash, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_dedup(_table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     found = mixing.mix(_table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -41,7 +48,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op5_mixing, op7_exact_dedup, op8_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op4_simhash, op5_mixing, op7_exact_dedup, op8_packing, op10_warc)}
 
 ORACLES = {
     "op7_exact_dedup": """

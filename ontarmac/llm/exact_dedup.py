@@ -193,7 +193,8 @@ def _same_bytes(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -
     rows = common.two_columns(docs, id_col, text_col)
     normal = F.translate("text", common.UPPER, common.LOWER)
     texts = (
-        rows.join(ids, rows["id"].eqNullSafe(ids["wanted"]))
+        # the ids grow with the input, so they are not broadcast even while they are few
+        rows.join(ids.hint("merge"), rows["id"].eqNullSafe(ids["wanted"]))
         .select("digest", normal.alias("text"))
         .filter(F.sha2("text", 256) == F.lower(F.hex("digest")))  # ids may have several texts
     )

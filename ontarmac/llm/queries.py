@@ -5,13 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontarmac.llm import exact_dedup, mixing, packing, simhash, warc
+from ontarmac.llm import exact_dedup, mixing, packing, quality_rules, simhash, token_counts, warc
+
+TOKEN_LIMIT = 4096
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality_rules.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = token_counts.count_tokens(_table(spark, folder, "documents"), path)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_dedup(_table(spark, folder, "documents"))
     return found.select(
@@ -48,7 +65,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash, op5_mixing, op7_exact_dedup, op8_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op4_simhash, op5_mixing, op7_exact_dedup, op8_packing, op10_warc)}
 
 ORACLES = {
     "op7_exact_dedup": """

@@ -134,11 +134,11 @@ def train(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
     return fit(x, y, falling)
 
 
-def _scores(shared, width: int):
+def _scores(model, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat = batch.column("features").flatten().to_numpy()
-            score = shared.value.score(flat.reshape(-1, width)) if batch.num_rows else np.zeros(0)
+            score = model.score(flat.reshape(-1, width)) if batch.num_rows else np.zeros(0)
             yield batch.drop_columns(["features"]).append_column("score", pa.array(score))
 
     return run
@@ -163,9 +163,8 @@ def judge(
     if trees is None:
         scored = stats.drop("features").withColumn("score", F.lit(1.0))
     else:
-        shared = stats.sparkSession.sparkContext.broadcast(trees)
         schema = f"id {common.id_type(docs, id_col)}, {counts}, score double"
-        scored = stats.mapInArrow(_scores(shared, len(text_stats.FEATURES)), schema)
+        scored = stats.mapInArrow(_scores(trees, len(text_stats.FEATURES)), schema)
     return scored.withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= threshold)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontarmac.llm import exact_dedup, mixing, packing, quality_rules, simhash, token_counts, warc
+from ontarmac.llm import exact_dedup, mixing, packing, pu_quality, quality_rules, simhash, token_counts, warc
 
 TOKEN_LIMIT = 4096
 
@@ -41,6 +41,11 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    found = pu_quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     found = exact_dedup.dedup(docs, exact_dedup.half_by_id())
@@ -65,7 +70,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op4_simhash, op5_mixing, op7_exact_dedup, op8_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op4_simhash, op5_mixing, op6_quality_classifier, op7_exact_dedup, op8_packing, op10_warc)}
 
 ORACLES = {
     "op7_exact_dedup": """

@@ -15,7 +15,9 @@ empty table gives an empty result. Other columns are not looked at.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -28,18 +30,27 @@ from ontarmac.session import cut
 
 CAPACITY = 4096
 PIECES_PER_SALT = 200_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 800_000
 
 
 # --- token ids -------------------------------------------------------------------------------------
 
 
+MARK = b"\x01"
+# fixed value: the pattern by which such a tokenizer takes words apart before it merges
+APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters that no normalisation but lower-casing changes, and ASCII marks without the apostrophe behind them.
+PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class WordEncoder:
     """Token ids of whole texts by way of their words, as little-endian 32-bit bytes.
 
     Right for tokenizers that drop white space and never join what stands on its two sides, such as those that split words
-    off by a pattern without white space. Then a text's ids are those of its words, and each word is encoded once. The
-    cache is emptied when it is full.
+    off by a pattern without white space. Then a text's ids are those of its words, and each word is encoded once. New
+    words go to the tokenizer many at a time, with a mark of one token between them. Where the pattern is ``APART``, a
+    plain word is two parts, its letters and the marks behind them, and new letters go to a copy of the tokenizer that takes
+    words apart at blanks alone: each gives one token that ends a word, its last. The cache is emptied when it is full.
     """
 
     def __init__(self, path: str, end_id: int | None = 1, cached: int = CACHED_WORDS):
@@ -49,26 +60,76 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.mark = self._ids(MARK)
+        self.letters_only = self._for_letters(Tokenizer.from_file(path))
         self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        self.cached, self.known = cached, {}
+        self.cached, self.known, self.parts = cached, {}, {}
+
+    def _for_letters(self, copy):
+        from tokenizers import pre_tokenizers
+
+        steps = json.loads(copy.to_str())
+        model, before = steps["model"], (steps["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        if before[0].get("pattern") != {"Regex": APART} or model.get("end_of_word_suffix") != "</w>" or len(before) != 2:
+            return None
+        copy.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.ends_word = np.zeros(copy.get_vocab_size(), bool)
+        self.ends_word[[i for token, i in copy.get_vocab().items() if token.endswith("</w>")]] = True
+        return copy
+
+    def _learn_letters(self, letters: list[str]) -> None:
+        for start in range(0, len(letters), 2048):
+            part = letters[start : start + 2048]
+            ids = np.array(self.letters_only.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            data, first = ids.tobytes(), 0
+            for word, end in zip(part, ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist(), strict=True):
+                self.parts[word] = data[first:end]
+                first = end
+
+    def _plain(self, words: list[bytes]) -> list[bytes]:
+        """Learn the plain words; returns the others."""
+        found = [(w, PLAIN_WORD.fullmatch(w.decode())) for w in words]
+        split = [(w, m[1].lower(), m[2]) for w, m in found if m]
+        self._learn_letters(list({letters for _, letters, _ in split}.difference(self.parts)))
+        for marks in {marks for _, _, marks in split}.difference(self.parts):
+            self.parts[marks] = self._ids(marks.encode()).tobytes()
+        for word, letters, marks in split:
+            self.known[word] = self.parts[letters] + self.parts[marks]
+        return [w for w, m in found if not m]
+
+    def _ids(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, words: list[bytes]) -> None:
+        if self.letters_only is not None:
+            words = self._plain(words)
+        alone = words if len(self.mark) != 1 else [w for w in words if MARK in w]
+        for word in alone:
+            self.known[word] = self._ids(word).tobytes()
+        together = [] if len(self.mark) != 1 else [w for w in words if MARK not in w]
+        for start in range(0, len(together), 2048):
+            part = together[start : start + 2048]
+            ids = self._ids((b" " + MARK + b" ").join(part))
+            data = ids.tobytes()
+            ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids)) * 4
+            first = 0
+            for word, end in zip(part, ends.tolist(), strict=True):
+                self.known[word] = data[first:end]
+                first = end + 4
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.translate(_TO_SPACE).split(" ") for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.known})
+        words = [t.encode().split() for t in texts]
+        new = set().union(*words).difference(self.known)
         if len(self.known) + len(new) > self.cached:
-            self.known = {}
-            new = list({w for ws in words for w in ws})
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+            self.known, self.parts = {}, {}
+            new = set().union(*words)
+        self._learn(list(new))
         get = self.known.__getitem__
         return [b"".join(map(get, ws)) + self.end for ws in words]
 
 
-_TO_SPACE = {ord(c): " " for c in common.BLANKS}
-
-
 def _pieces(path: str, end_id: int | None, capacity: int, with_ids: bool):
     size = 4 * capacity
 

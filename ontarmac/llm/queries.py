@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontarmac.llm import exact_dedup, mixing, packing, pu_quality, quality_rules, simhash, token_counts, warc
+from ontarmac.llm import exact_dedup, mixing, packing, pii, pu_quality, quality_rules, simhash, token_counts, warc
 
 TOKEN_LIMIT = 4096
 
@@ -57,6 +57,21 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.detect(_table(spark, folder, "documents"))
+
+    def of_kind(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [of_kind(k) for k in pii.BASE_KINDS]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(pii.joined(F.array_sort("base")), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     target = warc.archive_folder(spark)
     files = warc.write_archives(_table(spark, folder, "pages"), target)
@@ -70,7 +85,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op4_simhash, op5_mixing, op6_quality_classifier, op7_exact_dedup, op8_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op4_simhash, op5_mixing, op6_quality_classifier, op7_exact_dedup, op8_packing, op9_pii, op10_warc)}
 
 ORACLES = {
     "op7_exact_dedup": """

@@ -82,7 +82,8 @@ class WordEncoder:
     def _learn_letters(self, letters: list[str]) -> None:
         for start in range(0, len(letters), 2048):
             part = letters[start : start + 2048]
-            ids = np.array(self.letters_only.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            found = self.letters_only.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(found[0].ids, "<u4")
             data, first = ids.tobytes(), 0
             for word, end in zip(part, ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist(), strict=True):
                 self.parts[word] = data[first:end]
@@ -90,14 +91,17 @@ class WordEncoder:
 
     def _plain(self, words: list[bytes]) -> list[bytes]:
         """Learn the plain words; returns the others."""
-        found = [(w, PLAIN_WORD.fullmatch(w.decode())) for w in words]
-        split = [(w, m[1].lower(), m[2]) for w, m in found if m]
-        self._learn_letters(list({letters for _, letters, _ in split}.difference(self.parts)))
-        for marks in {marks for _, _, marks in split}.difference(self.parts):
+        whole = PLAIN_WORD.fullmatch
+        found = list(map(whole, map(bytes.decode, words)))
+        split = [(m[1].lower(), m[2]) if m else None for m in found]
+        self._learn_letters(list({s[0] for s in split if s}.difference(self.parts)))
+        for marks in {s[1] for s in split if s}.difference(self.parts):
             self.parts[marks] = self._ids(marks.encode()).tobytes()
-        for word, letters, marks in split:
-            self.known[word] = self.parts[letters] + self.parts[marks]
-        return [w for w, m in found if not m]
+        parts, known = self.parts, self.known
+        for word, s in zip(words, split):
+            if s:
+                known[word] = parts[s[0]] + parts[s[1]] if s[1] else parts[s[0]]
+        return [w for w, s in zip(words, split) if not s]
 
     def _ids(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")

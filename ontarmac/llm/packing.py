@@ -318,9 +318,11 @@ def sequences(packed: DataFrame, pieces: DataFrame) -> DataFrame:
     A sequence has ``capacity`` tokens at most, so no group is large.
     """
     key = ["id", "piece", "start", "length", "ids_crc32"]
-    places = packed.select(*[F.col(c).alias(f"_{c}") for c in key], "sequence_id", "offset")
-    same = [pieces[c].eqNullSafe(places[f"_{c}"]) for c in key]
-    joined = pieces.join(places, same).select("sequence_id", "offset", "ids")
+    turn = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))  # equal rows take equal places in turn
+    places = packed.withColumn("turn", turn).select(*[F.col(c).alias(f"_{c}") for c in [*key, "turn"]], "sequence_id", "offset")
+    own = pieces.withColumn("turn", turn)
+    same = [own[c].eqNullSafe(places[f"_{c}"]) for c in [*key, "turn"]]
+    joined = own.join(places, same).select("sequence_id", "offset", "ids")
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     ids = F.aggregate(parts, F.lit(b""), lambda held, p: F.concat(held, p["ids"]))
     return joined.groupBy("sequence_id").agg(ids.alias("ids"))

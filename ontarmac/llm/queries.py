@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontarmac.llm import exact_dedup, mixing, packing, pii, pu_quality, quality_rules, simhash, token_counts, warc
+from ontarmac.llm import exact_dedup, licences, mixing, packing, pii, pu_quality, quality_rules, simhash, token_counts, warc
 
 TOKEN_LIMIT = 4096
 
@@ -21,6 +21,17 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_licences(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(_table(spark, folder, "documents"))
+    notices = F.transform("notices", lambda n: F.concat_ws(":", n["family"], n["start"], n["stop"]))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("notices", lambda n: n["family"]))), ",").alias("families"),
+        F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(notices, ",").alias("notices"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     found = token_counts.count_tokens(_table(spark, folder, "documents"), path)
@@ -85,7 +96,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op4_simhash, op5_mixing, op6_quality_classifier, op7_exact_dedup, op8_packing, op9_pii, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_licences, op3_token_counts, op4_simhash, op5_mixing, op6_quality_classifier, op7_exact_dedup, op8_packing, op9_pii, op10_warc)}
 
 ORACLES = {
     "op7_exact_dedup": """

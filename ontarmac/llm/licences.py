@@ -8,7 +8,7 @@ score takes the few known words of it.
 
 Probabilities are calibrated by a temperature fitted on copies held back. A paragraph is a notice when its probability of
 being no notice is below one half. Its family is confirmed when its calibrated probability is high enough and the
-paragraph, with three known n-grams at least, shares most n-grams with a template of that family; else the notice is ``unknown``.
+paragraph shares most n-grams with a template of that family; else the notice is ``unknown``, if it has five known n-grams.
 
 Defined results: a null, empty or blank text has no paragraphs. Null ids get rows like others. Rows repeated get equal
 results. An empty table gives an empty result (and background lines are then none). Other columns are not looked at.
@@ -28,7 +28,7 @@ from ontarmac.llm import common
 WINDOW_WORDS, WINDOW_STEP = 60, 30
 BACKGROUND_DOCS, BACKGROUND_LINES = 300, 3000
 COPIES, ROUNDS, RATE, DECAY = 40, 250, 0.05, 2e-4
-SURE, SHARED, LEAST_GRAMS = 0.6, 0.6, 3
+SURE, SHARED, LEAST_GRAMS = 0.6, 0.65, 5
 OTHER, UNKNOWN = "none", "unknown"
 SEED = 11
 _DROPPED = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != ord("-"))
@@ -127,7 +127,7 @@ _TEMPLATE_GRAMS = {family: [grams_of(words_of(t.encode())) for t in texts] for f
 def shared(words: list[bytes], family: str) -> float:
     """The largest share of n-grams a paragraph has in common with a template, of the smaller of both; few are not enough."""
     own = grams_of(words)
-    return max(len(own & t) / max(LEAST_GRAMS, min(len(own), len(t))) for t in _TEMPLATE_GRAMS[family])
+    return max(len(own & t) / max(min(LEAST_GRAMS, len(t)), min(len(own), len(t))) for t in _TEMPLATE_GRAMS[family])
 
 
 @dataclass
@@ -266,11 +266,11 @@ def judge_texts(model: Classifier, texts: list[str]) -> list[list[dict]]:
     p = model.probabilities(units)
     best: dict[tuple[int, int], tuple[bool, float, str]] = {}
     for u in np.flatnonzero(p[:, -1] < 0.5):
-        if len(grams_of(units[u]) & model.index.keys()) < LEAST_GRAMS:
-            continue
         top = int(np.argmax(p[u, :-1]))
         name, sure = model.classes[top], float(p[u, top])
         confirmed = name != UNKNOWN and sure >= SURE and shared(units[u], name) >= SHARED
+        if not confirmed and len(grams_of(units[u]) & model.index.keys()) < LEAST_GRAMS:
+            continue
         found = (confirmed, sure if confirmed else float(1 - p[u, -1]), name if confirmed else UNKNOWN)
         best[owners[u]] = max(best.get(owners[u], found), found)
     for (t, n), (_, sure, name) in sorted(best.items()):

@@ -29,7 +29,7 @@ def route_info(spark: SparkSession, folder: str) -> DataFrame:
 def explained(spark: SparkSession, folder: str) -> DataFrame:
     """Every accepted request under a stand-in probability."""
     inputs = R.model_inputs(R.accepted(checked(spark, folder)))
-    return R.explain(inputs.withColumn("probability_delay_15", F.expr("(request_id % 1001) / 1000.0D")))
+    return R.explain(inputs.withColumn("probability_delay_15", F.expr("(request_id % 10001) / 10000.0D")))
 
 
 def explain_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,8 +38,8 @@ def explain_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def user_messages(spark: SparkSession, folder: str) -> DataFrame:
-    return T.table(spark, folder, "conversations").filter("role = 'user'").select("conv_id", "turn", "text")
+def said(spark: SparkSession, folder: str) -> DataFrame:
+    return T.table(spark, folder, "conversations").select("conv_id", "turn", "text")
 
 
 def message_answers(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,7 +52,7 @@ def message_answers(spark: SparkSession, folder: str) -> DataFrame:
         "summary",
         "reasons",
     )
-    messages = T.table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    messages = said(spark, folder)
     about = (F.col("flight_id") == F.col("conv_id") + 1) & (F.col("conv_id") % 3 == 0)
     return M.answers(messages.join(flights, about, "left")).select(
         "conv_id", "turn", "tool_name", "assistant_message", "failed"
@@ -64,8 +64,8 @@ QUERIES = {
     "request_rejects": request_rejects,
     "route_info": route_info,
     "explain_rows": explain_rows,
-    "message_intent": lambda s, d: M.with_intent(user_messages(s, d)).select("conv_id", "turn", "tool_name"),
-    "message_routes": lambda s, d: M.with_named_route(user_messages(s, d)).select("conv_id", "turn", "origin", "dest"),
+    "message_intent": lambda s, d: M.with_intent(said(s, d)).select("conv_id", "turn", "tool_name"),
+    "message_routes": lambda s, d: M.with_named_route(said(s, d)).select("conv_id", "turn", "origin", "dest"),
     "message_answers": message_answers,
 }
 
@@ -110,7 +110,7 @@ explained AS (SELECT *, CASE WHEN p >= 0.65 THEN 'high' WHEN p >= 0.35 THEN 'med
       CASE WHEN distance >= 1500 THEN '{K.REASON_LONG_HAUL}' END,
       CASE WHEN season IN ('summer', 'winter') THEN '{K.REASON_SEASON}' END,
       CASE WHEN is_weekend = 1 THEN '{K.REASON_WEEKEND}' END] IF x IS NOT NULL] AS found
-  FROM (SELECT *, (request_id % 1001) / 1000.0 AS p FROM inputs)),
+  FROM (SELECT *, (request_id % 10001) / 10000::double AS p FROM inputs)),
 told AS (SELECT *, 'Estimated delay>=15m probability is ' || printf('%.1f%%', p * 100) || ', which falls in the '
     || risk_band || ' risk band.' AS summary,
     CASE WHEN len(found) = 0 THEN '{K.REASON_NONE}' ELSE array_to_string(found, ' ') END AS reasons FROM explained)"""
@@ -119,7 +119,6 @@ _INTENT_SQL = "CASE " + " ".join(
     "WHEN " + " OR ".join(f"contains(lower(text), '{w}')" for w in words) + f" THEN '{tool}'"
     for tool, words in K.INTENT_WORDS
 ) + " ELSE 'help' END"
-_USER = "FROM conversations WHERE role = 'user'"
 # DuckDB's word boundary knows ASCII only, so whole words are taken first
 _CODES = (
     r"[w FOR w IN regexp_extract_all(upper(replace(text, 'ß', 'ss')), '[\p{L}\p{M}\p{N}_]+')"
@@ -139,9 +138,9 @@ ORACLES = {
       distance_miles FROM located WHERE origin_city IS NOT NULL AND dest_city IS NOT NULL AND origin <> dest""",
     "explain_rows": f"""WITH {_LOCATED_SQL} SELECT request_id, p AS probability_delay_15, risk_band, summary, reasons
       FROM told""",
-    "message_intent": f"SELECT conv_id, turn, {_INTENT_SQL} AS tool_name {_USER}",
+    "message_intent": f"SELECT conv_id, turn, {_INTENT_SQL} AS tool_name FROM conversations",
     "message_routes": f"""SELECT conv_id, turn, CASE WHEN len({_CODES}) >= 2 THEN ({_CODES})[1] END AS origin,
-      CASE WHEN len({_CODES}) >= 2 THEN ({_CODES})[2] END AS dest {_USER}""",
+      CASE WHEN len({_CODES}) >= 2 THEN ({_CODES})[2] END AS dest FROM conversations""",
     "message_answers": f"""WITH {_LOCATED_SQL},
       asked AS (SELECT conv_id, turn, {_INTENT_SQL} AS tool_name, t.p, t.summary, t.reasons,
           coalesce(t.origin, CASE WHEN len({_CODES}) >= 2 THEN ({_CODES})[1] END) AS o,

@@ -46,8 +46,20 @@ def intent(message: str | Column) -> Column:
 
 
 def percent(probability: str | Column) -> Column:
-    """A share as a percentage with one digit, ties to even."""
-    return F.format_string("%.1f%%", F.bround(as_column(probability) * 100, 1))
+    """A share as a percentage with one digit, rounded from the exact binary value, ties to even.
+
+    Ten times the percentage is the sum of eight and two times it, both exact; ``error`` is what that sum lost.
+    """
+    x = as_column(probability) * 100
+    sum_ = x * 8 + x * 2
+    error = x * 2 - (sum_ - x * 8)
+    whole = F.floor(sum_)
+    rest = sum_ - whole
+    odd = whole % 2 == 1
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & odd)))
+    tenths = whole + up.cast("int")
+    shown = F.format_string("%d.%d%%", F.floor(tenths / 10), tenths % 10)
+    return F.when(as_column(probability).isNotNull(), shown)
 
 
 def risk_band(probability: str | Column) -> Column:

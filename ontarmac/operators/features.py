@@ -32,13 +32,41 @@ TEXT_COLUMNS = {
     "dest_state": "DestState",
 }
 # fixed values: the feature table in order
-FEATURE_COLUMNS = (
-    "year quarter month day_of_month day_of_week flight_date day_of_year week_of_year is_weekend season "
-    "sched_dep_minutes sched_arr_minutes sched_dep_hour sched_arr_hour dep_time_bucket carrier origin "
-    "origin_state origin_wac dest dest_state dest_wac route carrier_route scheduled_elapsed_time distance "
-    "distance_group dot_id_reporting_airline origin_airport_id dest_airport_id label_delay_15 "
-    "arrival_delay_minutes split"
-).split()
+FEATURE_COLUMNS = [
+    "year",
+    "quarter",
+    "month",
+    "day_of_month",
+    "day_of_week",
+    "flight_date",
+    "day_of_year",
+    "week_of_year",
+    "is_weekend",
+    "season",
+    "sched_dep_minutes",
+    "sched_arr_minutes",
+    "sched_dep_hour",
+    "sched_arr_hour",
+    "dep_time_bucket",
+    "carrier",
+    "origin",
+    "origin_state",
+    "origin_wac",
+    "dest",
+    "dest_state",
+    "dest_wac",
+    "route",
+    "carrier_route",
+    "scheduled_elapsed_time",
+    "distance",
+    "distance_group",
+    "dot_id_reporting_airline",
+    "origin_airport_id",
+    "dest_airport_id",
+    "label_delay_15",
+    "arrival_delay_minutes",
+    "split",
+]
 
 
 def valid_flights(flights: DataFrame) -> DataFrame:

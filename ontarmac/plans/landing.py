@@ -7,12 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontarmac.sources import archives as A, curated
-from ontarmac.session import cut
-
-# fixed values: first and last month landed by default
-FIRST_MONTH = "1987-10"
-LAST_MONTH = "2025-11"
-
+from ontarmac.session import cut, scratch_path
 
 def curated_rows(archives: DataFrame, header: str, spread: bool = False) -> DataFrame:
     """Rows of archives that share a header, with the year and month their file names give.
@@ -30,58 +25,83 @@ def land(
     spark: SparkSession,
     input_dir: str,
     output_root: str,
-    start: str = FIRST_MONTH,
-    end: str = LAST_MONTH,
+    start: str | None = None,
+    end: str | None = None,
     overwrite: bool = False,
     hot_bytes: int = A.HOT_ARCHIVE_BYTES,
 ) -> DataFrame:
-    """Convert the archives of all new months in one job; returns what was done per month.
+    """Convert the archives of all new months in one job; returns what was done with each archive.
 
-    With ``overwrite`` months that exist are replaced. All archives are checked before any is converted.
+    Without ``start`` or ``end`` that side is open. With ``overwrite`` months that exist are replaced. All archives are
+    checked before any is converted.
     """
     done = land_files(A.read_archives(spark, input_dir), output_root, start, end, overwrite, hot_bytes)
     if done.isEmpty():
-        raise ValueError("no archives found for these months")
+        raise ValueError("no archives found")
     return done
 
 
+def statuses(files: DataFrame, landed: DataFrame, start: str | None, end: str | None, overwrite: bool) -> DataFrame:
+    """Every archive with its ``status``.
+
+    ``out of range``: its month lies outside the bounds. ``skip``: its month has been landed, or an earlier archive of
+    the month is taken (with ``overwrite`` the last one). ``ok`` and ``replaced``: to be landed, in the latter case over what
+    is there.
+    """
+    listed = A.manifest(files.select("path", "length"))
+    pick = F.max if overwrite else F.min
+    chosen = A.in_months(listed, start, end).groupBy("year", "month").agg(pick("path").alias("chosen"))
+    present = landed.withColumn("landed", F.lit(True))
+    status = (
+        F.when(~A.within_months(start, end), "out of range")
+        .when(F.col("path") != F.col("chosen"), "skip")
+        .when(F.col("landed").isNull(), "ok")
+        .otherwise("replaced" if overwrite else "skip")
+    )
+    return (
+        listed.join(chosen, ["year", "month"], "left")
+        .join(present, ["year", "month"], "left")
+        .select("year", "month", "path", "length", status.alias("status"))
+    )
+
+
 def land_files(
     files: DataFrame,
     output_root: str,
-    start: str = FIRST_MONTH,
-    end: str = LAST_MONTH,
+    start: str | None = None,
+    end: str | None = None,
     overwrite: bool = False,
     hot_bytes: int = A.HOT_ARCHIVE_BYTES,
 ) -> DataFrame:
     """:func:`land` for archives already listed; there may be none."""
     spark = files.sparkSession
-    listed = A.in_months(A.manifest(files.select("path", "length")), start, end)
-    months = A.one_per_month(listed, last=overwrite)
-    landed = A.landed_months(spark, output_root).withColumn("landed", F.lit(True))
-    status = F.when(F.col("landed") & F.lit(not overwrite), "skip").otherwise("ok")
     todo = cut(
-        months.join(landed, ["year", "month"], "left")
-        .select("year", "month", "path", "length", status.alias("status"), A.target_path(output_root).alias("target"))
+        statuses(files, A.landed_months(spark, output_root), start, end, overwrite)
+        .withColumn("target", A.target_path(output_root))
     )
     # file names only: the driver lists these files anyway to plan the scan
-    pending = todo.filter(F.col("status") == "ok").select("path", "length").collect()
+    pending = todo.filter("status in ('ok', 'replaced')").select("path", "length").collect()
     if pending:
         convert(spark, {row["path"]: row["length"] for row in pending}, output_root, hot_bytes)
-    return todo.select("year", "month", "status", "target").orderBy("year", "month")
+    return todo.select("year", "month", "path", "status", "target").orderBy("year", "month", "path")
 
 
 def convert(
     spark: SparkSession, lengths: dict[str, int], output_root: str, hot_bytes: int = A.HOT_ARCHIVE_BYTES
 ) -> None:
-    """Check the archives, then write their rows. Archives with the same header are parsed together."""
-    report = cut(A.inspect(A.read_archives(spark, list(lengths))).withColumn("layout", F.xxhash64("header")))
+    """Check the archives, then write their rows. Archives with the same header are parsed together.
+
+    Faulty archives stop the job; the message names the first of them and the table that holds the report on all.
+    """
+    checked = A.inspect(A.read_archives(spark, list(lengths))).withColumn("layout", F.xxhash64("header"))
+    path = scratch_path(spark, "archive-report")
+    checked.write.parquet(path)
+    report = spark.read.parquet(path)
     bad = report.filter(~F.col("is_zip") | (F.col("csv_members") != 1)).select("path", "is_zip", "csv_members")
-    faults = bad.limit(20).collect()
-    if faults:
-        raise ValueError(
-            "archives without exactly one CSV file: "
-            + ", ".join(f"{r['path']} ({r['csv_members'] if r['is_zip'] else 'not a ZIP'})" for r in faults)
-        )
+    first = bad.orderBy("path").first()
+    if first:
+        fault = f"{first['csv_members']} CSV files" if first["is_zip"] else "not a ZIP"
+        raise ValueError(f"{bad.count()} archives without exactly one CSV file, as {first['path']} ({fault}); all are in {path}")
     headers = {r["layout"]: r["header"] for r in report.select("layout", "header").distinct().collect()}
     groups: dict[tuple[int, bool], list[str]] = {}
     for row in report.select("path", "layout").collect():

@@ -12,6 +12,8 @@ import re
 import sys
 import zipfile
 from collections.abc import Iterator
+from datetime import date
+from pathlib import PurePosixPath
 from zlib import error as InflateError
 
 import pyarrow as pa
@@ -58,18 +60,23 @@ def manifest(files: DataFrame) -> DataFrame:
 
 def year_month(value: str) -> int:
     """``"2024-05"`` as 202405."""
-    match = re.fullmatch(r"(\d{4})-(\d{2})", value)
-    if not match or not 1 <= int(match[2]) <= 12:
+    if len(value) != 7:
         raise ValueError(f"not a month in the form YYYY-MM: {value}")
-    return int(match[1]) * 100 + int(match[2])
+    first = date.fromisoformat(f"{value}-01")
+    return first.year * 100 + first.month
 
 
-def in_months(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows from the first to the last month, both included."""
-    first, last = year_month(start), year_month(end)
-    if first > last:
+def within_months(start: str | None, end: str | None) -> Column:
+    """Whether a row is from the first to the last month, both included; None leaves that side open."""
+    first, last = (None if value is None else year_month(value) for value in (start, end))
+    if first is not None and last is not None and first > last:
         raise ValueError(f"{start} is after {end}")
-    return df.filter((F.col("year") * 100 + F.col("month")).between(first, last))
+    month = F.col("year") * 100 + F.col("month")
+    return (F.lit(True) if first is None else month >= first) & (F.lit(True) if last is None else month <= last)
+
+
+def in_months(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    return df.filter(within_months(start, end))
 
 
 def one_per_month(df: DataFrame, last: bool = False) -> DataFrame:
@@ -113,8 +120,9 @@ def target_path(root: str) -> Column:
 # --- what is inside --------------------------------------------------------------------------------
 
 
-def _csv_names(archive: zipfile.ZipFile) -> list[str]:
-    return [n for n in archive.namelist() if n.lower().endswith(".csv")]
+def _tables(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
+    """The members that hold tables."""
+    return [member for member in archive.infolist() if PurePosixPath(member.filename).suffix.lower() == ".csv"]
 
 
 def _blocks(member) -> Iterator[str]:
@@ -122,7 +130,7 @@ def _blocks(member) -> Iterator[str]:
     rest, started = b"", False
     while piece := member.read(BLOCK_BYTES):
         held = rest + piece
-        cut = held.rfind(b"\n") + 1
+        cut = (held.rfind(b"\n") + 1) or (held.rfind(b"\r", 0, -1) + 1)  # a last CR may belong to a CR LF
         block, rest = held[:cut], held[cut:]
         if not started:
             block = block.removeprefix(b"\xef\xbb\xbf").lstrip()
@@ -136,12 +144,12 @@ def _blocks(member) -> Iterator[str]:
 def _inspect(path: str, content: bytes) -> tuple:
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            names = _csv_names(archive)
+            tables = _tables(archive)
             header = None
-            if len(names) == 1:
-                with archive.open(names[0]) as member:
+            if len(tables) == 1:
+                with archive.open(tables[0]) as member:
                     header = re.split(_LINE_END, next(_blocks(member), ""))[0]
-            return path, len(content), True, len(names), header
+            return path, len(content), True, len(tables), header
     except (zipfile.BadZipFile, InflateError, EOFError):
         return path, len(content), False, 0, None
 
@@ -160,10 +168,10 @@ def _unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
             with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
-                names = _csv_names(archive)
-                if len(names) != 1:
-                    raise ValueError(f"{path.as_py()} contains {len(names)} CSV files")
-                with archive.open(names[0]) as member:
+                tables = _tables(archive)
+                if len(tables) != 1:
+                    raise ValueError(f"{path.as_py()}: one table is expected in an archive, not {len(tables)}")
+                with archive.open(tables[0]) as member:
                     for i, text in enumerate(_blocks(member)):
                         yield pa.RecordBatch.from_pydict(
                             {"path": [path.as_py()], "block": pa.array([i], pa.int32()), "text": [text]}

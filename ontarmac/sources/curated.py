@@ -10,9 +10,13 @@ from ontarmac import constants as K
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
-    """Curated flights of a root, a year or a month; year and month stay columns for each of them."""
+    """Curated flights of a root, a year or a month; year and month stay columns for each of them.
+
+    Archives of different months may have different headers, so the columns of all files are taken together; a
+    month without a column has NULL there.
+    """
     root = re.split(r"/(?:year|month)=", path.rstrip("/"))[0]
-    return spark.read.option("basePath", root).parquet(path)
+    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(path)
 
 
 def write_curated(flights: DataFrame, root: str) -> None:
@@ -52,10 +56,10 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def preview(flights: DataFrame, rows: int = 5, wanted: list[str] = K.PREVIEW_COLUMNS) -> DataFrame:
-    """A few rows of the wanted columns that exist, else of all columns."""
+    """The first few rows, in the order of their values, of the wanted columns that exist, else of all columns."""
     present = {c.lower() for c in flights.columns}
     shown = [c for c in wanted if c.lower() in present] or flights.columns
-    return flights.select(*shown).limit(rows)
+    return flights.select(*shown).orderBy(*[F.asc_nulls_last(c) for c in shown]).limit(rows)
 
 
 def table_shape(flights: DataFrame) -> dict:

@@ -12,13 +12,15 @@ def land_arrivals(
     input_dir: str,
     output_root: str,
     checkpoint: str,
-    start: str = landing.FIRST_MONTH,
-    end: str = landing.LAST_MONTH,
+    start: str | None = None,
+    end: str | None = None,
+    overwrite: bool = False,
 ) -> None:
     """Land all archives not seen by earlier runs, then stop.
 
     The checkpoint remembers which files were taken. A batch repeated after a failure writes whole months
-    again, so no rows are lost or doubled. Months already landed are skipped.
+    again, so no rows are lost or doubled. Months already landed are skipped, or replaced with ``overwrite``. Archives
+    outside the bounds count as seen; without bounds all are landed.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -28,7 +30,7 @@ def land_arrivals(
     )
 
     def land_batch(batch, _batch_id: int) -> None:
-        landing.land_files(batch, output_root, start, end)
+        landing.land_files(batch, output_root, start, end, overwrite)
 
     stream = (
         files.select("path", "length")

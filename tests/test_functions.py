@@ -71,3 +71,9 @@ def test_messages(spark):
     assert values(spark, text.intent("x"), said) == tools
     codes = [["SFO", "JFK"], ["FOR", "THE"], [], []]
     assert values(spark, text.named_codes("x"), ["sfo to JFK!", "for the flight", "élan été", "ABCD EF"]) == codes
+
+
+def test_percent_rounds_the_exact_value(spark):
+    shown = spark.range(10001).select((F.col("id") / 10000).alias("p")).select("p", text.percent("p").alias("shown")).collect()
+    assert all(r["shown"] == f"{r['p']:.1%}" for r in shown)
+    assert values(spark, text.percent("x"), [0.0025, 0.0075, 0.00125, 1.0, None], "double") == ["0.2%", "0.8%", "0.1%", "100.0%", None]

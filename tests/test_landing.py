@@ -70,11 +70,12 @@ def test_only_new_months_are_landed(spark, raw, tmp_path):
     landing.land(spark, str(raw), root, "2024-01", "2024-01")
     put(raw, 2024, 1, HEADER + lines(2024, 1, 9))
     done = landing.land(spark, str(raw), root, "2024-01", "2024-12").collect()
-    assert [r["status"] for r in done] == ["skip", "ok"]
+    assert [r["status"] for r in done] == ["out of range", "skip", "ok"]
     assert counts(spark, root) == {(2024, 1): 5, (2024, 2): 3}
     landing.land(spark, str(raw), root, "2024-01", "2024-01", overwrite=True)
     assert counts(spark, root) == {(2024, 1): 9, (2024, 2): 3}
-    assert [r["status"] for r in landing.land(spark, str(raw), root, "2024-01", "2024-02").collect()] == ["skip", "skip"]
+    done = landing.land(spark, str(raw), root, "2024-01", "2024-02").collect()
+    assert [r["status"] for r in done] == ["out of range", "skip", "skip"]
 
 
 @pytest.mark.parametrize(("year", "text", "member", "extra", "message"), [
@@ -83,7 +84,7 @@ def test_only_new_months_are_landed(spark, raw, tmp_path):
 ])
 def test_archives_need_exactly_one_csv(spark, raw, tmp_path, year, text, member, extra, message):
     put(raw, year, 1, text, member, extra)
-    with pytest.raises(ValueError, match=rf"2022_1.zip \({message}\)"):
+    with pytest.raises(ValueError, match=rf"1 archives .*2022_1.zip \({message} CSV files\)"):
         landing.land(spark, str(raw), str(tmp_path / "curated"))
 
 
@@ -101,8 +102,11 @@ def test_malformed_rows_stop_the_job(spark, raw, tmp_path, bad):
 
 
 def test_nothing_to_land_is_an_error(spark, raw, tmp_path):
+    done = landing.land(spark, str(raw), str(tmp_path / "curated"), "2001-01", "2001-02").collect()
+    assert [r["status"] for r in done] == ["out of range"] * 3
+    (tmp_path / "none").mkdir()
     with pytest.raises(ValueError, match="no archives"):
-        landing.land(spark, str(raw), str(tmp_path / "curated"), "2001-01", "2001-02")
+        landing.land(spark, str(tmp_path / "none"), str(tmp_path / "curated"))
     with pytest.raises(ValueError):
         landing.land(spark, str(raw), str(tmp_path / "curated"), "2001-02", "2001-01")
 
@@ -181,3 +185,47 @@ def test_header_names_may_hold_any_character(spark):
     block = [("p", 0, '"a b","c,d","e`f",g:h,\n1,2,3,4,\n')]
     rows = A.parse(spark.createDataFrame(block, A.BLOCK_SCHEMA), '"a b","c,d","e`f",g:h,', ["path"])
     assert rows.columns == ["path", "a b", "c,d", "e`f", "g:h"] and tuple(rows.first()) == ("p", "1", "2", "3", "4")
+
+
+def test_late_months_land_by_default_and_every_archive_has_a_status(spark, raw, tmp_path):
+    put(raw, 2026, 1, HEADER + lines(2026, 1, 2))
+    (raw / "again").mkdir()
+    put(raw / "again", 2024, 1, HEADER + lines(2024, 1, 7))
+    files = A.read_archives(spark, [str(raw), str(raw / "again")])
+    root = str(tmp_path / "curated")
+    done = landing.land_files(files, root).collect()
+    assert [(r["year"], r["month"], r["status"]) for r in done] == [
+        (2023, 12, "ok"), (2024, 1, "ok"), (2024, 1, "skip"), (2024, 2, "ok"), (2026, 1, "ok")]
+    again = [r["status"] for r in landing.land_files(files, root, "2024-01", overwrite=True).collect()]
+    assert sorted(again) == ["out of range", "replaced", "replaced", "replaced", "skip"]
+    arrivals.land_arrivals(spark, str(raw), str(tmp_path / "other"), str(tmp_path / "seen"))
+    assert (2026, 1) in counts(spark, str(tmp_path / "other"))
+
+
+@pytest.mark.parametrize("order", [(1, 2), (2, 1)])
+def test_months_with_different_headers_read_back_complete(spark, tmp_path, order):
+    root = str(tmp_path / "curated")
+    texts = {1: HEADER + lines(2025, 1, 3), 2: '"Origin","Extra"\n"C1","e"\n'}
+    for month in order:
+        folder = tmp_path / str(month)
+        folder.mkdir()
+        put(folder, 2025, month, texts[month])
+        landing.land(spark, str(folder), root)
+    read = curated.read_curated(spark, root)
+    assert set(read.columns) == {"Origin", "Note", "Extra", "year", "month"}
+    assert {(r["month"], r["Extra"]) for r in read.collect()} == {(1, None), (2, "e")}
+
+
+def test_arrivals_replace_landed_months(spark, raw, tmp_path):
+    root, seen = str(tmp_path / "curated"), str(tmp_path / "seen")
+    arrivals.land_arrivals(spark, str(raw), root, seen)
+    put(raw, 2024, "01", HEADER + lines(2024, 1, 9))
+    arrivals.land_arrivals(spark, str(raw), root, seen, overwrite=True)
+    assert counts(spark, root)[(2024, 1)] == 9
+
+
+def test_lines_that_end_in_carriage_returns(monkeypatch):
+    monkeypatch.setattr(A, "BLOCK_BYTES", 16)
+    text = "a,b\r" + "".join(f"{i},x\r" for i in range(200))
+    blocks = list(A._blocks(io.BytesIO(text.encode())))
+    assert "".join(blocks) == text and max(map(len, blocks)) < 64

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from ontarmac.operators.features import of_split, years_in
@@ -26,17 +28,22 @@ def hash_sample(df: DataFrame, fraction: float, key: list[str], seed: int) -> Da
     return df.filter(drawn < ceiling)
 
 
+Draw = Callable[[DataFrame, float, int], DataFrame]
+
+
+def by_hash(key: list[str]) -> Draw:
+    """A way of drawing that does not depend on the partitioning."""
+    return lambda df, fraction, seed: hash_sample(df, fraction, key, seed)
+
+
 def split_samples(
-    df: DataFrame, train: float = 0.01, valid: float = 0.05, test: float = 0.05, seed: int = 42
+    df: DataFrame, train: float = 0.01, valid: float = 0.05, test: float = 0.05, seed: int = 42, draw: Draw = sample
 ) -> dict[str, DataFrame]:
     """A sample of each split, with seeds that follow each other."""
     fractions = {"train": train, "valid": valid, "test": test}
-    return {
-        name: sample(of_split(df, name), fraction, seed + i)
-        for i, (name, fraction) in enumerate(fractions.items())
-    }
+    return {name: draw(of_split(df, name), fraction, seed + i) for i, (name, fraction) in enumerate(fractions.items())}
 
 
-def dev_subset(valid_flights: DataFrame) -> DataFrame:
+def dev_subset(valid_flights: DataFrame, years: list[int] = DEV_YEARS, draw: Draw = sample) -> DataFrame:
     """A small share of three years, for trying out features."""
-    return sample(years_in(valid_flights, DEV_YEARS), DEV_FRACTION, DEV_SEED)
+    return draw(years_in(valid_flights, years), DEV_FRACTION, DEV_SEED)

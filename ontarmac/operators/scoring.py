@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
@@ -128,31 +125,23 @@ def model_inputs(requests: DataFrame) -> DataFrame:
     )
 
 
-def unknown_models(requests: DataFrame, models: list[str]) -> DataFrame:
-    """Requests for a model that is not deployed, with the fault that names it."""
-    asked = text.model_key("model_id")
-    return requests.filter(asked.isNotNull() & ~asked.isin(*models)).withColumn(
-        "faults", F.array(F.concat(F.lit("Unsupported model_id: "), asked))
-    )
-
-
-def predict(inputs: DataFrame, models: Mapping[str, PipelineModel], default: str) -> DataFrame:
-    """Score each row with the model it asks for, or the default one.
-
-    Rows asking for an unknown model are left to :func:`unknown_models`.
-    """
+def routed(checked: DataFrame, models: list[str], default: str) -> DataFrame:
+    """Checked requests with the model each gets; asking for one that is not deployed is a fault of a sound request."""
     if default not in models:
         raise ValueError(f"unknown default model: {default}")
-    chosen = inputs.withColumn("model_id", F.coalesce(text.model_key("model_id"), F.lit(default)))
-    parts = [
-        model.transform(chosen.filter(F.col("model_id") == name)).select(
-            *chosen.columns,
-            class_score("probability").alias("probability_delay_15"),
-            F.col("prediction").cast("int").alias("prediction_delay_15"),
-        )
-        for name, model in models.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    named = checked.withColumn("model_id", F.coalesce(text.model_key("model_id"), F.lit(default)))
+    unknown = (F.size("faults") == 0) & ~F.col("model_id").isin(*models)
+    fault = F.array(F.concat(F.lit("Unsupported model_id: "), "model_id"))
+    return named.withColumn("faults", F.when(unknown, fault).otherwise(F.col("faults")))
+
+
+def predict(inputs: DataFrame, model: PipelineModel) -> DataFrame:
+    """Probability and predicted class of each row under one model."""
+    return model.transform(inputs).select(
+        *inputs.columns,
+        class_score("probability").alias("probability_delay_15"),
+        F.col("prediction").cast("int").alias("prediction_delay_15"),
+    )
 
 
 def reasons() -> Column:
@@ -175,6 +164,14 @@ def explain(scored: DataFrame, probability: str = "probability_delay_15") -> Dat
     )
 
 
+PREVIEW_ORDER = ["carrier", "origin", "dest", K.LABEL, "split"]
+
+
+def preview_rows(rows: DataFrame, limit: int = 10) -> DataFrame:
+    """The rows to preview, chosen before they are scored."""
+    return rows.orderBy(*PREVIEW_ORDER).limit(limit)
+
+
 def preview(predictions: DataFrame, limit: int = 10) -> DataFrame:
     """A few predictions to look at, in a fixed order."""
     shown = predictions.select(
@@ -186,5 +183,4 @@ def preview(predictions: DataFrame, limit: int = 10) -> DataFrame:
         "dest",
         "split",
     )
-    order = ["carrier", "origin", "dest", F.desc("probability_delay_15"), K.LABEL, "split"]
-    return shown.orderBy(*order).limit(limit)
+    return shown.orderBy(*PREVIEW_ORDER, F.desc("probability_delay_15")).limit(limit)

@@ -27,12 +27,16 @@ def build_history_features(
     output: str,
     overwrite: bool = False,
     dev_subset: bool = False,
-    rebalance: bool = False,
+    rates_path: str | None = None,
 ) -> DataFrame:
     """Write the 35-column feature table, of all flights or of the small development subset.
 
-    ``rebalance`` is for histories of so many keys that their join shuffles the flights.
+    Where the rates have so many keys that joining them shuffles the flights, these are brought together by month
+    before writing. ``rates_path`` keeps the rates for scoring.
     """
     flights = flights_for(spark, curated_path, dev_subset)
-    curated.write_features(H.history_feature_table(flights), output, overwrite, rebalance)
+    rates = H.learn_rates(X.derive(flights))
+    if rates_path:
+        rates.save(rates_path, overwrite)
+    curated.write_features(H.history_feature_table(flights, rates=rates), output, overwrite, rates.shuffles())
     return summaries.split_counts(curated.read_features(spark, output))

@@ -22,6 +22,8 @@ class Comparison:
     board: DataFrame
     sampled_rows: dict[str, int]
     previews: dict[str, DataFrame] = field(default_factory=dict)
+    numeric: list[str] = field(default_factory=lambda: list(K.NUMERIC_COLUMNS))
+    categorical: list[str] = field(default_factory=lambda: list(K.CATEGORICAL_COLUMNS))
 
     @property
     def champion(self) -> str:
@@ -66,15 +68,16 @@ def compare(
         rows = {"train": train.count()} | {s: counted.get(s, 0) for s in ("valid", "test")}
         spark = features.sparkSession
         fitted, measured, previews = {}, [], {}
+        # a handful of rows, the same for each model; only these are scored a second time
+        few = scoring.preview_rows(X.of_split(held_out, "valid"), preview_rows)
+        few = spark.createDataFrame(few.collect(), few.schema)
         for name in names:
             model = stages.classifier(name, settings).fit(train)
             predictions = model.transform(held_out)
             metrics = E.as_long(E.evaluate(predictions, ["split"], E.class_score()), ["split"])
             # ten numbers per model
             measured += [(name, *r) for r in metrics.select("split", "metric", "value", "metric_name").collect()]
-            shown_rows = scoring.preview(X.of_split(predictions, "valid"), preview_rows)
-            # a handful of rows, fixed while the inputs are still at hand
-            previews[name] = spark.createDataFrame(shown_rows.collect(), shown_rows.schema)
+            previews[name] = scoring.preview(model.transform(few), preview_rows)
             fitted[name] = stages.assembled(encoder, model)
     finally:
         train.unpersist()
@@ -82,7 +85,8 @@ def compare(
     metrics = spark.createDataFrame(
         measured, "model_name string, split string, metric string, value double, metric_name string"
     )
-    return Comparison(fitted, metrics, L.leaderboard(metrics, names, primary_metric), rows, previews)
+    board = L.leaderboard(metrics, names, primary_metric)
+    return Comparison(fitted, metrics, board, rows, previews, list(numeric), list(categorical))
 
 
 def save_model(model: PipelineModel, path: str, overwrite: bool = False) -> None:
@@ -100,7 +104,7 @@ def write_reports(comparison: Comparison, folder: str, overwrite: bool = False)
     """Leaderboard, feature schema and prediction previews as JSON."""
     spark = comparison.metrics.sparkSession
     schema = spark.createDataFrame(
-        [(K.CATEGORICAL_COLUMNS, K.NUMERIC_COLUMNS, list(comparison.models))],
+        [(comparison.categorical, comparison.numeric, list(comparison.models))],
         "categorical_cols array<string>, numeric_cols array<string>, selected_models array<string>",
     )
     curated.write_report(comparison.board, f"{folder}/leaderboard", overwrite)

@@ -134,6 +134,7 @@ def test_split_samples(flights):
 
 def test_dev_subset(flights):
     assert sampling.dev_subset(flights).count() == 0
+    assert 0 < sampling.dev_subset(flights, [1998, 1999, 2000]).count() < 0.1 * flights.count()
 
 
 def test_feature_sink(spark, flights, tmp_path):
@@ -146,3 +147,10 @@ def test_feature_sink(spark, flights, tmp_path):
         curated.write_features(features_of(flights), path)
     curated.write_features(features_of(flights).limit(5), path, overwrite=True, rebalance=True)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_shuffled_history_reads_the_needed_columns_only(spark, flights, tmp_path):
+    wide = flights.withColumns({f"unused{i}": F.lit("x") for i in range(5)})
+    wide.write.parquet(str(tmp_path / "wide"))
+    table = H.history_feature_table(spark.read.parquet(str(tmp_path / "wide")), 1999, 2000, max_broadcast_rows=0)
+    assert "unused" not in table._jdf.queryExecution().executedPlan().toString()

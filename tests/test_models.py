@@ -118,7 +118,7 @@ def test_comparison(comparison, table):
         assert shown.count() == 10 and shown.select("split").distinct().collect()[0][0] == "valid"
 
 
-def test_history_columns_can_be_model_inputs(flights):
+def test_history_columns_can_be_model_inputs_and_be_served(spark, folder, flights, tmp_path):
     table = history.history_feature_table(flights, 1999, 2000)
     result = training.compare(
         table, "rf", "test_f1", min_year=1999, train_fraction=1.0, valid_fraction=1.0, test_fraction=0.5,
@@ -127,6 +127,14 @@ def test_history_columns_can_be_model_inputs(flights):
     assert assembler.getInputCols()[17:19] == K.HISTORY_COLUMNS
     assert result.sampled_rows["train"] == table.filter("year = 1999").count()
     assert result.board.first()["selection_score"] == result.board.first()["test_f1"]
+    training.write_reports(result, str(tmp_path / "reports"))
+    listed = spark.read.json(str(tmp_path / "reports/feature_schema")).first()
+    assert set(K.HISTORY_COLUMNS) <= set(listed["numeric_cols"])
+    history.learn_rates(X.derive(flights, 1999, 2000)).save(str(tmp_path / "rates"))
+    kept = history.DelayRates.load(spark, str(tmp_path / "rates"))
+    requests = tables.requests(spark, folder)
+    scored, rejects = serving.score_requests(requests, result.models, "rf", kept)
+    assert scored.count() + rejects.count() == requests.count() and scored.count() > 0
 
 
 def test_shared_stages_give_the_same_model_as_a_pipeline(comparison, table):
@@ -171,7 +179,7 @@ def test_scoring(spark, folder, comparison):
     assert scored.filter(F.size("reasons") == 0).isEmpty()
     assert not rejects.filter(F.array_contains("faults", "Unsupported model_id: nope")).isEmpty()
     with pytest.raises(ValueError):
-        R.predict(requests, {"lr": comparison.models["lr"]}, "rf")
+        serving.score_requests(requests, {"lr": comparison.models["lr"]}, "rf")
 
 
 def test_request_faults(spark):

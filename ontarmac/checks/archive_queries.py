@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,7 +17,7 @@ from ontarmac.checks import tables as T
 from ontarmac.checks.feature_queries import feature_table
 from ontarmac.operators import features as X, summaries
 from ontarmac.plans import landing
-from ontarmac.session import scratch_path
+from ontarmac.session import cut, scratch_path
 from ontarmac.sources import archives as A, curated, listing
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # as in the archive source
@@ -32,7 +33,7 @@ def paths(spark: SparkSession, folder: str) -> DataFrame:
     """One archive path per order; some are named like no monthly archive."""
     return T.table(spark, folder, "orders").selectExpr(
         "concat('file:/landing/', o_orderkey % 7, '/', case when o_orderkey % 53 = 0 then 'old_' else '' end,"
-        " 'On_Time_Reporting_Carrier_On_Time_Performance_1987_present_', year(o_orderdate), '_', month(o_orderdate),"
+        " 'On_Time_Reporting_Carrier_On_Time_Performance_1987_present_', year(o_orderdate) + o_orderkey % 5, '_', month(o_orderdate),"
         " case when o_orderkey % 41 = 0 then '.zip.part' else '.zip' end) path",
         "o_orderkey length",
     )
@@ -40,19 +41,9 @@ def paths(spark: SparkSession, folder: str) -> DataFrame:
 
 def pending_months(spark: SparkSession, folder: str) -> DataFrame:
     """Listed months in which nothing was shipped yet."""
-    months = A.one_per_month(A.in_months(A.manifest(paths(spark, folder)), "1995-03", "2001-06"))
+    months = A.one_per_month(A.in_months(A.manifest(paths(spark, folder)), "1995-03", "2004-06"))
     landed = T.table(spark, folder, "lineitem").selectExpr("year(l_shipdate) year", "month(l_shipdate) month")
-    landed = landed.filter("month not in (4, 9)").distinct()
-    return A.pending(months, landed).withColumn("target", A.target_path("/curated/"))
-
-
-def archive_integrity(spark: SparkSession, folder: str) -> DataFrame:
-    """Inspected archives against the best listing entry of their month."""
-    best = listing.best_per_month(listed(spark, folder))
-    report = listed(spark, folder).selectExpr(
-        "concat('file:/landing/', filename) path", "size_bytes length", "month(listed_at) <> 2 is_zip"
-    )
-    return A.integrity(report, best)
+    return A.pending(months, landed.distinct()).withColumn("target", A.target_path("/curated/"))
 
 
 def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -74,6 +65,25 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
     return landed.select(*K.CURATED_COLUMNS).mapInPandas(_zip_batches, "path string, content binary")
 
 
+def _damaged_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Archives of May and October are cut off, those of March and August hold a second table."""
+    for batch in _zip_batches(batches):
+        path, content = batch.loc[0, "path"], batch.loc[0, "content"]
+        month = int(path.removesuffix(".zip").rpartition("_")[2])
+        if month in (3, 8):
+            held = io.BytesIO(content)
+            with zipfile.ZipFile(held, "a") as archive:
+                archive.writestr("more.csv", "a,b")
+            content = held.getvalue()
+        yield pd.DataFrame({"path": [path], "content": [content[: len(content) // 2] if month % 5 == 0 else content]})
+
+
+def damaged(spark: SparkSession, folder: str) -> DataFrame:
+    landed = T.landed_flights(spark, folder).withColumnsRenamed({"year": "Year", "month": "Month"})
+    packed = landed.select(*K.CURATED_COLUMNS).mapInPandas(_damaged_batches, "path string, content binary")
+    return cut(A.inspect(packed))
+
+
 HEADER = ",".join(f'"{c}"' for c in K.CURATED_COLUMNS) + ","
 
 
@@ -90,8 +100,52 @@ def zip_ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def archive_report(spark: SparkSession, folder: str) -> DataFrame:
     """What the archives hold, per month; how many there are depends on batches, so they are merged."""
-    report = A.manifest(A.inspect(archives(spark, folder)))
-    return report.groupBy("year", "month", "is_zip", "csv_members", "header").agg(F.count("*").alias("n")).drop("n")
+    report = A.manifest(damaged(spark, folder))
+    return report.select("year", "month", "is_zip", "csv_members", "header").distinct()
+
+
+def archive_integrity(spark: SparkSession, folder: str) -> DataFrame:
+    """Inspected archives against a listing that gives the right size, a wrong one (July) or none (February)."""
+    report = damaged(spark, folder).withColumn("path", F.concat(F.col("path"), F.lit("#"), F.monotonically_increasing_id()))
+    report = cut(report)  # months may have several archives; each gets a name of its own
+    name, month = F.regexp_extract("path", r"([^/]+)$", 1), F.regexp_extract("path", r"_(\d+)\.zip", 1).cast("int")
+    listed = report.filter(month != 2).select(name.alias("filename"), (F.col("length") + (month == 7).cast("int")).alias("size_bytes"))
+    checked = A.integrity(report, listed).withColumn("filename", F.regexp_replace("filename", "#.*", ""))
+    over = (F.col("expected") - F.col("length")).alias("over")
+    return checked.select("filename", over, "size_ok", "is_zip", "ok").distinct()
+
+
+def _archive_folder(spark: SparkSession, folder: str) -> str:
+    """Archives of all flights as files in the shared folder, one per month."""
+    target = scratch_path(spark, "archives")
+    uri = target if target.startswith("file:") or "://" in target else f"file://{target}"
+    landed = T.landed_flights(spark, folder).withColumnsRenamed({"year": "Year", "month": "Month"})
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        files, root = pafs.FileSystem.from_uri(uri)
+        files.create_dir(root, recursive=True)
+        archive = next(_zip_batches(iter([rows])))
+        name = archive.loc[0, "path"].rpartition("/")[2]
+        with files.open_output_stream(f"{root}/{name}", compression=None) as stream:
+            stream.write(archive.loc[0, "content"])
+        return pd.DataFrame({"name": [name]})
+
+    months = landed.select(*K.CURATED_COLUMNS).groupBy("Year", "Month").applyInPandas(write, "name string")
+    months.write.format("noop").mode("overwrite").save()
+    return target
+
+
+def landing_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Landing the archives three times: up to 1997, then all that is new, then all from 1998 on once more."""
+    raw, root = _archive_folder(spark, folder), scratch_path(spark, "curated")
+    runs = [
+        landing.land(spark, raw, root, end="1997-12"),
+        landing.land(spark, raw, root),
+        landing.land(spark, raw, root, start="1998-01", overwrite=True),
+    ]
+    landed = curated.read_curated(spark, root).groupBy("year", "month").agg(F.count("*").alias("flights"))
+    named = [r.select(F.lit(i + 1).alias("run"), "year", "month", "status") for i, r in enumerate(runs)]
+    return named[0].unionByName(named[1]).unionByName(named[2]).join(landed, ["year", "month"], "left")
 
 
 def partitioned_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,26 +176,25 @@ QUERIES = {
     "zip_unpack": lambda s, d: unzipped(s, d).select("year", "month", *OTHER_COLUMNS),
     "zip_ingest_roundtrip": zip_ingest_roundtrip,
     "partitioned_sink_roundtrip": partitioned_sink_roundtrip,
+    "landing_status": landing_status,
     "pruned_read": pruned_read,
     "sink_split_counts": lambda s, d: summaries.split_counts(partitioned_sink_roundtrip(s, d)),
 }
 
-_NAME = r"On_Time_Reporting_Carrier_On_Time_Performance(?:_1987_present|_\(1987_present\))_(\d{4})_(\d{1,2})\.zip"
-_STAMP = r"\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{2}\s+[AP]M"
-_ENTRY = rf'(?i)({_STAMP})\s+(\d+)\s+<A\s+HREF="(?:/PREZIP/)?({_NAME})"'
-_LISTED_SQL = T.LISTING_SQL + f""",
-listed AS (SELECT regexp_extract(line, '{_ENTRY}', 3) AS filename,
-    cast(regexp_extract(line, '{_ENTRY}', 4) AS integer) AS year, cast(regexp_extract(line, '{_ENTRY}', 5) AS integer) AS month,
-    cast(regexp_extract(line, '{_ENTRY}', 2) AS bigint) AS size_bytes,
-    strptime(regexp_replace(regexp_extract(line, '{_ENTRY}', 1), '\\s+', ' ', 'g'), '%-m/%-d/%Y %-I:%M %p') AS listed_at
-  FROM lines WHERE regexp_matches(line, '{_ENTRY}')),
+# an entry taken apart at its blanks and quotes: date, time, half of the day, size, link
+_LISTED_SQL = T.LISTING_SQL + """,
+parts AS (SELECT list_filter(string_split(split_part(line, '<A', 1), ' '), lambda x: x <> '') AS p,
+    list_reverse(string_split(split_part(line, '"', 2), '/'))[1] AS filename FROM lines),
+named AS (SELECT *, string_split(replace(filename, '.zip', ''), '_') AS n FROM parts WHERE ends_with(filename, '.zip')),
+listed AS (SELECT filename, cast(n[-2] AS integer) AS year, cast(n[-1] AS integer) AS month, cast(p[4] AS bigint) AS size_bytes,
+    strptime(p[1] || ' ' || p[2] || ' ' || p[3], '%-m/%-d/%Y %-I:%M %p') AS listed_at FROM named),
 best AS (SELECT year, month, filename, size_bytes, listed_at FROM (SELECT *, row_number() OVER (
     PARTITION BY year, month ORDER BY contains(filename, '('), size_bytes DESC, listed_at DESC, filename) AS rn FROM listed)
   WHERE rn = 1)"""
 
 _PATHS_SQL = r"""
 paths AS (SELECT concat('file:/landing/', o_orderkey % 7, '/', CASE WHEN o_orderkey % 53 = 0 THEN 'old_' ELSE '' END,
-    'On_Time_Reporting_Carrier_On_Time_Performance_1987_present_', year(o_orderdate), '_', month(o_orderdate),
+    'On_Time_Reporting_Carrier_On_Time_Performance_1987_present_', year(o_orderdate) + o_orderkey % 5, '_', month(o_orderdate),
     CASE WHEN o_orderkey % 41 = 0 THEN '.zip.part' ELSE '.zip' END) AS path, o_orderkey AS length FROM orders),
 named AS (SELECT *, regexp_extract(path, '([^/]+)$', 1) AS filename FROM paths),
 manifest AS (SELECT *, cast(regexp_extract(filename, '_(\d{4})_(\d{1,2})\.zip$', 1) AS integer) AS year,
@@ -164,16 +217,23 @@ ORACLES = {
     "pending_months": f"""WITH {_PATHS_SQL},
       firsts AS (SELECT year, month, path, length, filename FROM (SELECT *, row_number() OVER (
         PARTITION BY year, month ORDER BY path, length) AS rn FROM manifest
-        WHERE year * 100 + month BETWEEN 199503 AND 200106) WHERE rn = 1)
+        WHERE year * 100 + month BETWEEN 199503 AND 200406) WHERE rn = 1)
       SELECT *, concat('/curated/year=', year, '/month=', lpad(month::varchar, 2, '0')) AS target FROM firsts f
-      WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE year(l_shipdate) = f.year AND month(l_shipdate) = f.month
-        AND month(l_shipdate) NOT IN (4, 9))""",
-    "archive_integrity": f"""WITH {_LISTED_SQL}, checked AS (SELECT l.filename, l.size_bytes AS length,
-        b.size_bytes AS expected, b.size_bytes IS NULL OR b.size_bytes = l.size_bytes AS size_ok,
-        month(l.listed_at) <> 2 AS is_zip FROM listed l LEFT JOIN best b ON l.filename = b.filename)
-      SELECT *, size_ok AND is_zip AS ok FROM checked""",
-    "archive_report": f"""WITH {T.FLIGHTS_SQL} SELECT DISTINCT cast("Year" AS integer) AS year,
-      cast("Month" AS integer) AS month, true AS is_zip, cast(1 AS integer) AS csv_members, '{HEADER}' AS header FROM flights""",
+      WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE year(l_shipdate) = f.year AND month(l_shipdate) = f.month)""",
+    "archive_integrity": f"""WITH {T.FLIGHTS_SQL}, months AS (SELECT DISTINCT cast("Year" AS int) AS y, cast("Month" AS int) AS m FROM flights)
+      SELECT 'On_Time_Reporting_Carrier_On_Time_Performance_1987_present_' || y || '_' || m || '.zip' AS filename,
+        CASE WHEN m <> 2 THEN cast(CASE WHEN m = 7 THEN 1 ELSE 0 END AS bigint) END AS over, m <> 7 AS size_ok,
+        m NOT IN (5, 10) AS is_zip, m NOT IN (5, 7, 10) AS ok FROM months""",
+    "archive_report": f"""WITH {T.FLIGHTS_SQL}, months AS (SELECT DISTINCT cast("Year" AS integer) AS year, cast("Month" AS integer) AS month
+      FROM flights) SELECT year, month, month NOT IN (5, 10) AS is_zip,
+      cast(CASE WHEN month IN (5, 10) THEN 0 WHEN month IN (3, 8) THEN 2 ELSE 1 END AS integer) AS csv_members,
+      CASE WHEN month NOT IN (3, 5, 8, 10) THEN '{HEADER}' END AS header FROM months""",
+    "landing_status": f"""WITH {T.FLIGHTS_SQL}, months AS (SELECT cast("Year" AS integer) AS year, cast("Month" AS integer) AS month,
+        count(*) AS flights FROM flights GROUP BY ALL),
+      runs AS (SELECT 1 AS run, year, month, CASE WHEN year <= 1997 THEN 'ok' ELSE 'out of range' END AS status, flights FROM months
+        UNION ALL SELECT 2, year, month, CASE WHEN year <= 1997 THEN 'skip' ELSE 'ok' END, flights FROM months
+        UNION ALL SELECT 3, year, month, CASE WHEN year <= 1997 THEN 'out of range' ELSE 'replaced' END, flights FROM months)
+      SELECT run, year, month, status, flights FROM runs""",
     "zip_unpack": _LANDED_SQL,
     "zip_ingest_roundtrip": _LANDED_SQL,
     "partitioned_sink_roundtrip": f"WITH {T.FEATURES_SQL} SELECT * FROM features",

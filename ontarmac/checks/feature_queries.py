@@ -19,6 +19,17 @@ def history_table(spark: SparkSession, folder: str) -> DataFrame:
     return H.history_feature_table(T.landed_flights(spark, folder), **_FEATURES)
 
 
+def shuffled_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The history table by way of the join that large rate tables take."""
+    return H.history_feature_table(T.landed_flights(spark, folder), **_FEATURES, max_broadcast_rows=0)
+
+
+def training_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows the delay history is learned from; none would be an error."""
+    rates = H.learn_rates(X.derive(T.landed_flights(spark, folder), **_FEATURES))
+    return rates.routes.agg(F.sum("flights").alias("flights"), F.lit(rates.overall).alias("overall"))
+
+
 def late_routes(spark: SparkSession, folder: str) -> DataFrame:
     return S.late_routes(history_table(spark, folder))
 
@@ -55,6 +66,8 @@ QUERIES = {
     "hist_origin_rate": lambda s, d: H.origin_rates(feature_table(s, d)),
     "hist_route_rate": lambda s, d: H.route_rates(feature_table(s, d)),
     "hist_features": history_table,
+    "hist_features_shuffled": shuffled_history,
+    "training_rows": training_rows,
     "late_routes": late_routes,
 }
 
@@ -111,6 +124,11 @@ ORACLES = {
     "hist_origin_rate": f"WITH {HISTORY_SQL} SELECT * FROM origin_rate",
     "hist_route_rate": f"WITH {HISTORY_SQL} SELECT * FROM route_rate",
     "hist_features": f"WITH {HISTORY_SQL} SELECT * FROM history",
+    "hist_features_shuffled": f"WITH {HISTORY_SQL} SELECT * FROM history",
+    "training_rows": f"""WITH {HISTORY_SQL} SELECT cast(count(*) AS bigint) AS flights, any_value(rate) AS overall
+      FROM features CROSS JOIN overall""",
+    "flights_preview": f"""WITH {T.FLIGHTS_SQL} SELECT cast("Year" AS integer) AS "Year", cast("Month" AS integer) AS "Month",
+      "Origin", "Dest", "ArrDelay" FROM flights ORDER BY 1, 2, 3, 4, 5 NULLS LAST LIMIT 5""",
     "late_routes": f"""WITH {HISTORY_SQL} SELECT route, max(route_hist_delay_rate) AS route_hist_delay_rate,
       count(*) AS flights FROM history GROUP BY route ORDER BY route_hist_delay_rate DESC, route LIMIT 20""",
 }

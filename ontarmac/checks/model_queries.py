@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontarmac import constants as K
 from ontarmac.checks import tables as T
-from ontarmac.checks.feature_queries import feature_table
-from ontarmac.operators import evaluation as E, features as X, leaderboard as L, sampling, stages
+from ontarmac.checks.feature_queries import HISTORY_SQL, feature_table
+from ontarmac.checks.request_queries import LOCATED_SQL
+from ontarmac.functions import text
+from ontarmac.operators import evaluation as E, features as X, history as H, leaderboard as L, sampling, scoring as R, stages
 from ontarmac.plans import serving, training
 from ontarmac.session import cut, scratch_path
 from ontarmac.sources import curated
@@ -48,8 +50,8 @@ def roc_pr_auc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weighted_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    counts = E.score_counts(scored(spark, folder), ["model_name", "split"], "score")
     by = ["model_name", "split"]
+    counts = E.class_counts(scored(spark, folder), by)
     return E.class_metrics(counts, by).select(*by, *[F.round(c, 9).alias(c) for c in ("f1", "precision", "recall")])
 
 
@@ -85,46 +87,150 @@ def assemble(spark: SparkSession, folder: str) -> DataFrame:
     return encoded(spark, folder).select("carrier_route", "flight_date", F.array_join(slots, ",").alias("features"))
 
 
-def training_table(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "features")
-    curated.write_features(feature_table(spark, folder), path)
-    return curated.read_features(spark, path)
-
-
-# small forests: enough to exercise the whole job
-SMALL = stages.ModelSettings(max_iter=10, rf_num_trees=8, rf_max_depth=5, gbt_max_iter=4, gbt_max_depth=4)
+_feature_tables: dict[tuple[str, str], str] = {}
 
 
-def compare(spark: SparkSession, folder: str, models: str, settings: stages.ModelSettings = SMALL) -> training.Comparison:
+def training_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The written feature table; once per application and test folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _feature_tables:
+        path = scratch_path(spark, "features")
+        curated.write_features(feature_table(spark, folder), path)
+        _feature_tables[key] = path
+    return curated.read_features(spark, _feature_tables[key])
+
+
+def compare(
+    spark: SparkSession, folder: str, models: str, settings: stages.ModelSettings = stages.ModelSettings()
+) -> training.Comparison:
     return training.compare(
         training_table(spark, folder), models, train_fraction=1.0, valid_fraction=1.0, test_fraction=1.0, settings=settings
     )
 
 
-def train(models: str):
-    return lambda spark, folder: compare(spark, folder, models).metrics
+def saved_and_loaded(spark: SparkSession, comparison: training.Comparison) -> training.ModelShelf:
+    paths = {name: scratch_path(spark, f"model-{name}") for name in comparison.models}
+    for name, path in paths.items():
+        training.save_model(comparison.models[name], path)
+    return training.ModelShelf(paths, next(iter(paths)))
+
+
+def train(name: str):
+    """What holds for any fit: every flight gets one probability, the class follows it, and saving changes nothing."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        comparison = compare(spark, folder, name)
+        shelf, table = saved_and_loaded(spark, comparison), training_table(spark, folder)
+        p = E.class_score("probability")
+        ours = comparison.models[name].transform(table).withColumn("p", p)
+        loaded = shelf.get(name).transform(ours.select(*table.columns, F.col("p").alias("first_p"))).withColumn("p", p)
+        return (
+            loaded.groupBy("split", "label_delay_15")
+            .agg(
+                F.count("*").alias("flights"),
+                F.count_if(~F.coalesce(F.col("p").between(0, 1), F.lit(False))).alias("out_of_range"),
+                F.count_if((F.col("prediction") == 1) != (F.col("p") > 0.5)).alias("class_differs"),
+                F.count_if(F.col("p") != F.col("first_p")).alias("loaded_differs"),
+            )
+            .withColumn("model_name", F.lit(name))
+        )
+
+    return query
+
+
+def late_share(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean probability and late share of a converged regression on its training flights, overall and per season.
+
+    Without a penalty both are equal for the whole and for each value of a one-hot column.
+    """
+    settings = stages.ModelSettings(max_iter=300, reg_param=0.0, elastic_net_param=0.0)
+    table = training_table(spark, folder)
+    model = compare(spark, folder, "lr", settings).models["lr"]
+    scored = model.transform(X.of_split(table, "train")).withColumn("p", E.class_score("probability"))
+    return (
+        scored.cube("season")
+        .agg(F.count("*").alias("flights"), F.avg("p").alias("p"), F.avg("label_delay_15").alias("late"))
+        .select(F.coalesce("season", F.lit("all")).alias("season"), "flights", F.round("late", 6).alias("late"),
+                (F.abs(F.col("p") - F.col("late")) < 1e-3).alias("agrees"))
+    )
 
 
 def model_selection(spark: SparkSession, folder: str) -> DataFrame:
-    return compare(spark, folder, "lr,rf,gbt").board
+    """The ranks of three trained models against ranks counted anew from their metrics."""
+    comparison = compare(spark, folder, "lr,rf,gbt")
+    own = comparison.metrics.filter("metric_name = 'valid_pr_auc'").select("model_name", "value")
+    order = F.expr("array_position(array('lr', 'rf', 'gbt'), model_name)")
+    mine = own.withColumn("place", order)
+    other = mine.toDF("other_name", "other_value", "other_place")
+    ahead = (F.col("other_value") > F.col("value")) | ((F.col("other_value") == F.col("value")) & (F.col("other_place") < F.col("place")))
+    ranks = mine.join(other, ahead, "left").groupBy("model_name").agg((F.count("other_name") + 1).alias("expected"))
+    status = F.when(F.col("rank") == 1, "champion").otherwise("challenger")
+    return (
+        comparison.board.join(ranks, "model_name")
+        .select("model_name", "train_order", (F.col("rank") == F.col("expected")).alias("rank_agrees"),
+                (F.col("selection_status") == status).alias("status_agrees"))
+        .withColumn("valid_flights", F.lit(comparison.sampled_rows["valid"]).cast("long"))
+    )
+
+
+SERVED = ["lr", "rf"]
+
+
+def batch_requests(spark: SparkSession, folder: str) -> DataFrame:
+    return T.requests(spark, folder)
 
 
 def batch_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Train, save, load and score every request."""
-    comparison = compare(spark, folder, "lr,rf")
-    paths = {name: scratch_path(spark, f"model-{name}") for name in comparison.models}
-    for name, path in paths.items():
-        training.save_model(comparison.models[name], path)
-    shelf = training.ModelShelf(paths, "lr")
-    requests = T.requests(spark, folder).withColumn(
-        "model_id", F.expr("element_at(array(null, ' RF ', 'lr', 'gbt'), cast(request_id % 4 as int) + 1)")
-    )
-    scored_requests, rejects = serving.score_requests(requests, shelf.all(), shelf.default)
+    """Train, save, load and score every request; what holds for any model is compared, with the model each got."""
+    shelf = saved_and_loaded(spark, compare(spark, folder, ",".join(SERVED)))
+    scored_requests, _ = serving.score_requests(batch_requests(spark, folder), shelf.all(), shelf.default)
+    p = F.col("probability_delay_15")
     return scored_requests.select(
-        "request_id", "model_id", "probability_delay_15", "prediction_delay_15", "risk_band", "summary", "reasons"
+        "request_id",
+        "model_id",
+        p.between(0, 1).alias("in_range"),
+        ((F.col("prediction_delay_15") == 1) == (p > 0.5)).alias("class_agrees"),
+        (F.col("risk_band") == text.risk_band(p)).alias("band_agrees"),
+        F.array_join("reasons", " ").alias("reasons"),
     )
 
 
+def routed(spark: SparkSession, folder: str) -> DataFrame:
+    return R.routed(R.with_faults(batch_requests(spark, folder)), SERVED, "lr")
+
+
+def request_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests written as JSON lines, read back and checked."""
+    path = scratch_path(spark, "requests-json")
+    batch_requests(spark, folder).withColumn("request_id", F.col("request_id").cast("string")).write.json(path)
+    checked = R.with_faults(serving.read_requests(spark, path))
+    return checked.select("request_id", *R.REQUEST_FIELDS, F.array_join("faults", "; ").alias("faults"))
+
+
+def request_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Sound requests with the delay rates learned on the flights, kept and loaded; airports without flights get the overall rate."""
+    path = scratch_path(spark, "rates")
+    H.learn_rates(X.derive(T.landed_flights(spark, folder), T.TRAIN_UNTIL, T.VALID_UNTIL)).save(path)
+    sound = R.accepted(R.with_faults(batch_requests(spark, folder)))
+    place = F.concat(F.lit("N"), F.lpad((F.col("request_id") % 30).cast("string"), 2, "0"))
+    asked = sound.select("request_id", place.alias("origin")).withColumn("route", F.concat("origin", F.lit("_N07")))
+    return H.DelayRates.load(spark, path).add_to(asked, "origin", "route")
+
+
+def samples(spark: SparkSession, folder: str) -> DataFrame:
+    draw = sampling.by_hash(SAMPLE_KEY)
+    parts = sampling.split_samples(feature_table(spark, folder), 0.05, 0.1, 0.2, 42, draw)
+    return parts["train"].unionByName(parts["valid"]).unionByName(parts["test"]).select(*SAMPLE_COLUMNS)
+
+
+DEV_KEY = ["FlightDate", "Reporting_Airline", "Origin", "Dest", "CRSDepTime"]
+
+
+def dev_subset(spark: SparkSession, folder: str) -> DataFrame:
+    flights = X.valid_flights(T.landed_flights(spark, folder))
+    return sampling.dev_subset(flights, [1998, 1999, 2000], sampling.by_hash(DEV_KEY)).select(*DEV_KEY, "year")
+
+
 QUERIES = {
     "hash_sample": lambda s, d: sampling.hash_sample(feature_table(s, d), 0.05, SAMPLE_KEY, 42).select(*SAMPLE_COLUMNS),
     "native_sample": lambda s, d: sampling.sample(feature_table(s, d), 0.05, 42).select(*SAMPLE_COLUMNS),
@@ -138,6 +244,13 @@ QUERIES = {
     "train_lr": train("lr"),
     "train_rf": train("rf"),
     "train_gbt": train("gbt"),
+    "train_late_share": late_share,
+    "split_samples": samples,
+    "dev_subset": dev_subset,
+    "request_history": request_history,
+    "request_json": request_json,
+    "batch_routing": lambda s, d: R.accepted(routed(s, d)).select("request_id", "model_id"),
+    "batch_rejects": lambda s, d: R.rejected(routed(s, d)).select("request_id", F.array_join("faults", "; ").alias("faults")),
     "model_selection": model_selection,
     "batch_score": batch_score,
 }
@@ -204,7 +317,52 @@ _VECTOR_SQL = " || ',' || ".join(
     ]
 )
 
+_MODEL_SQL = "CASE WHEN lower(trim(coalesce(model_id, ''))) = '' THEN 'lr' ELSE lower(trim(model_id)) END"
+_ROUTED_SQL = LOCATED_SQL + f""",
+routed AS (SELECT request_id, {_MODEL_SQL} AS model_id,
+  CASE WHEN len(faults) = 0 AND {_MODEL_SQL} NOT IN ('lr', 'rf') THEN ['Unsupported model_id: ' || {_MODEL_SQL}]
+    ELSE faults END AS faults FROM checked)"""
+
+
+def _train_sql(name: str) -> str:
+    return f"""{_W} SELECT split, label_delay_15, count(*) AS flights, 0::bigint AS out_of_range, 0::bigint AS class_differs,
+      0::bigint AS loaded_differs, '{name}' AS model_name FROM features GROUP BY split, label_delay_15"""
+
+
+def _sample_sql(split: str, fraction: float, seed: int) -> str:
+    return f"""SELECT {', '.join(SAMPLE_COLUMNS)} FROM features WHERE split = '{split}'
+      AND substr(md5(concat_ws('|', '{seed}', flight_date::varchar, carrier_route, sched_dep_minutes::varchar)), 1, 8)
+        < '{int(fraction * 2**32):08x}'"""
+
+
 ORACLES = {
+    "train_lr": _train_sql("lr"),
+    "train_rf": _train_sql("rf"),
+    "train_gbt": _train_sql("gbt"),
+    "train_late_share": f"""{_W}, train AS (SELECT * FROM features WHERE split = 'train')
+      SELECT coalesce(season, 'all') AS season, count(*) AS flights, round(avg(label_delay_15), 6) AS late, true AS agrees
+      FROM train GROUP BY CUBE (season)""",
+    "model_selection": f"""{_W} SELECT model_name, train_order, true AS rank_agrees, true AS status_agrees,
+      (SELECT count(*) FROM features WHERE split = 'valid') AS valid_flights
+      FROM (VALUES ('lr', 1), ('rf', 2), ('gbt', 3)) AS m(model_name, train_order)""",
+    "split_samples": f"{_W} {_sample_sql('train', 0.05, 42)} UNION ALL {_sample_sql('valid', 0.1, 43)} UNION ALL {_sample_sql('test', 0.2, 44)}",
+    "dev_subset": f"""WITH {T.VALID_SQL} SELECT {', '.join(f'"{c}"' for c in DEV_KEY)}, cast("Year" AS integer) AS year FROM valid
+      WHERE "Year" IN ('1998', '1999', '2000')
+        AND substr(md5(concat_ws('|', '42', {', '.join(f'"{c}"' for c in DEV_KEY)})), 1, 8) < '{int(0.02 * 2**32):08x}'""",
+    "request_history": f"""WITH {HISTORY_SQL}, {LOCATED_SQL},
+      asked AS (SELECT request_id, 'N' || lpad((request_id % 30)::varchar, 2, '0') AS origin FROM checked WHERE len(faults) = 0)
+      SELECT a.request_id, a.origin, a.origin || '_N07' AS route,
+        coalesce(o.origin_hist_delay_rate, g.rate) AS origin_hist_delay_rate,
+        coalesce(r.route_hist_delay_rate, g.rate) AS route_hist_delay_rate
+      FROM asked a LEFT JOIN origin_rate o ON a.origin = o.origin LEFT JOIN route_rate r ON a.origin || '_N07' = r.route
+      CROSS JOIN overall g""",
+    "request_json": f"""WITH {LOCATED_SQL} SELECT request_id::varchar AS request_id, {', '.join(R.REQUEST_FIELDS)},
+      array_to_string(faults, '; ') AS faults FROM checked""",
+    "batch_routing": f"WITH {_ROUTED_SQL} SELECT request_id, model_id FROM routed WHERE len(faults) = 0",
+    "batch_rejects": f"""WITH {_ROUTED_SQL} SELECT request_id, array_to_string(faults, '; ') AS faults FROM routed
+      WHERE len(faults) > 0""",
+    "batch_score": f"""WITH {_ROUTED_SQL} SELECT r.request_id, r.model_id, true AS in_range, true AS class_agrees,
+      true AS band_agrees, t.reasons FROM routed r JOIN told t ON r.request_id = t.request_id WHERE len(r.faults) = 0""",
     "hash_sample": f"""{_W} SELECT {', '.join(SAMPLE_COLUMNS)} FROM features
       WHERE substr(md5(concat_ws('|', '42', flight_date::varchar, carrier_route, sched_dep_minutes::varchar)), 1, 8) < '{int(0.05 * 2**32):08x}'""",
     "roc_pr_auc": f"""{_W}, scored AS (SELECT split, label_delay_15,

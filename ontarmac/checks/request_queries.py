@@ -69,7 +69,7 @@ QUERIES = {
     "message_answers": message_answers,
 }
 
-_LOCATED_SQL = T.REQUESTS_SQL + ", " + T.AIRPORTS_SQL + f""",
+LOCATED_SQL = T.REQUESTS_SQL + ", " + T.AIRPORTS_SQL + f""",
 placed AS (SELECT r.*, a.city AS origin_city, a.wac AS origin_wac, b.city AS dest_city, b.wac AS dest_wac,
     pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2)
       + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin((radians(b.lon) - radians(a.lon)) / 2), 2) AS h,
@@ -78,11 +78,14 @@ placed AS (SELECT r.*, a.city AS origin_city, a.wac AS origin_wac, b.city AS des
   FROM requests r LEFT JOIN airports a ON r.origin = a.code LEFT JOIN airports b ON r.dest = b.code),
 located AS (SELECT *, round(3958.8 * 2 * atan2(sqrt(h), sqrt(1 - h)), 1) AS distance_miles FROM placed),
 fielded AS (SELECT *, [x FOR x IN [
+    CASE WHEN day_of_month IS NULL THEN 'day_of_month is missing' END,
+    CASE WHEN carrier IS NULL THEN 'carrier is missing' END,
     CASE WHEN year NOT BETWEEN 1987 AND 2100 THEN 'year must be from 1987 to 2100' END,
     CASE WHEN month NOT BETWEEN 1 AND 12 THEN 'month must be from 1 to 12' END,
     CASE WHEN day_of_month NOT BETWEEN 1 AND 31 THEN 'day_of_month must be from 1 to 31' END,
     CASE WHEN day_of_week NOT BETWEEN 1 AND 7 THEN 'day_of_week must be from 1 to 7' END,
-    CASE WHEN length(carrier) NOT BETWEEN 2 AND 10 THEN 'carrier must have 2 to 10 characters' END,
+    CASE WHEN length(carrier_sent) NOT BETWEEN 2 AND 10 THEN 'carrier must have 2 to 10 characters' END,
+    CASE WHEN length(dest_sent) <> 3 THEN 'dest must have 3 characters' END,
     CASE WHEN crs_dep_time NOT BETWEEN 0 AND 2359 OR crs_dep_time % 100 > 59
       THEN 'crs_dep_time must be a time in HHMM format' END,
     CASE WHEN crs_arr_time NOT BETWEEN 0 AND 2359 OR crs_arr_time % 100 > 59
@@ -92,7 +95,7 @@ checked AS (SELECT *, CASE WHEN len(fields) > 0 THEN fields ELSE [x FOR x IN [
     CASE WHEN origin_city IS NULL THEN 'Unsupported airport code: ' || origin END,
     CASE WHEN dest_city IS NULL THEN 'Unsupported airport code: ' || dest END,
     CASE WHEN origin = dest AND origin_city IS NOT NULL THEN 'Origin and destination must be different.' END] IF x IS NOT NULL] END AS faults FROM fielded),
-timed AS (SELECT *, (crs_dep_time // 100) * 60 + crs_dep_time % 100 AS dm, (crs_arr_time // 100) * 60 + crs_arr_time % 100 AS am
+clocked AS (SELECT *, (crs_dep_time // 100) * 60 + crs_dep_time % 100 AS dm, (crs_arr_time // 100) * 60 + crs_arr_time % 100 AS am
   FROM checked WHERE len(faults) = 0),
 inputs AS (SELECT request_id, year, (month - 1) // 3 + 1 AS quarter, month, day_of_month, day_of_week,
     cast(dayofyear(flight_day) AS integer) AS day_of_year, cast(weekofyear(flight_day) AS integer) AS week_of_year,
@@ -103,7 +106,7 @@ inputs AS (SELECT request_id, year, (month - 1) // 3 + 1 AS quarter, month, day_
     CASE WHEN month IN (12, 1, 2) THEN 'winter' WHEN month IN (3, 4, 5) THEN 'spring' WHEN month IN (6, 7, 8) THEN 'summer'
       ELSE 'fall' END AS season,
     CASE WHEN dm // 60 < 6 THEN 'overnight' WHEN dm // 60 < 12 THEN 'morning' WHEN dm // 60 < 18 THEN 'afternoon'
-      ELSE 'evening' END AS dep_time_bucket, carrier, origin, dest FROM timed),
+      ELSE 'evening' END AS dep_time_bucket, carrier, origin, dest FROM clocked),
 explained AS (SELECT *, CASE WHEN p >= 0.65 THEN 'high' WHEN p >= 0.35 THEN 'medium' ELSE 'low' END AS risk_band,
     [x FOR x IN [
       CASE WHEN dep_time_bucket IN ('evening', 'overnight') THEN '{K.REASON_LATE_IN_DAY}' END,
@@ -131,17 +134,17 @@ def _quoted(text: str) -> str:
 
 
 ORACLES = {
-    "request_features": f"WITH {_LOCATED_SQL} SELECT request_id, {', '.join(R.MODEL_INPUTS)} FROM inputs",
-    "request_rejects": f"""WITH {_LOCATED_SQL} SELECT request_id, {', '.join(R.REQUEST_FIELDS)},
+    "request_features": f"WITH {LOCATED_SQL} SELECT request_id, {', '.join(R.MODEL_INPUTS)} FROM inputs",
+    "request_rejects": f"""WITH {LOCATED_SQL} SELECT request_id, {', '.join(R.REQUEST_FIELDS)},
       array_to_string(faults, '; ') AS faults FROM checked WHERE len(faults) > 0""",
-    "route_info": f"""WITH {_LOCATED_SQL} SELECT request_id, origin, dest, origin_city, origin_wac, dest_city, dest_wac,
+    "route_info": f"""WITH {LOCATED_SQL} SELECT request_id, origin, dest, origin_city, origin_wac, dest_city, dest_wac,
       distance_miles FROM located WHERE origin_city IS NOT NULL AND dest_city IS NOT NULL AND origin <> dest""",
-    "explain_rows": f"""WITH {_LOCATED_SQL} SELECT request_id, p AS probability_delay_15, risk_band, summary, reasons
+    "explain_rows": f"""WITH {LOCATED_SQL} SELECT request_id, p AS probability_delay_15, risk_band, summary, reasons
       FROM told""",
     "message_intent": f"SELECT conv_id, turn, {_INTENT_SQL} AS tool_name FROM conversations",
     "message_routes": f"""SELECT conv_id, turn, CASE WHEN len({_CODES}) >= 2 THEN ({_CODES})[1] END AS origin,
       CASE WHEN len({_CODES}) >= 2 THEN ({_CODES})[2] END AS dest FROM conversations""",
-    "message_answers": f"""WITH {_LOCATED_SQL},
+    "message_answers": f"""WITH {LOCATED_SQL},
       asked AS (SELECT conv_id, turn, {_INTENT_SQL} AS tool_name, t.p, t.summary, t.reasons,
           coalesce(t.origin, CASE WHEN len({_CODES}) >= 2 THEN ({_CODES})[1] END) AS o,
           coalesce(t.dest, CASE WHEN len({_CODES}) >= 2 THEN ({_CODES})[2] END) AS d

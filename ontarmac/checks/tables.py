@@ -104,14 +104,18 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
     arr = "((o_orderkey * 37 + 45 + (o_custkey * 7) % 300) % 1440)"
     return table(spark, folder, "orders").selectExpr(
         "o_orderkey request_id",
-        "cast(null as string) model_id",
-        "year(o_orderdate) year",
+        "case o_orderkey % 6 when 1 then ' RF ' when 2 then 'lr' when 3 then 'gbt' when 4 then '  ' end model_id",
+        "case when o_orderkey % 101 = 0 then 1986 else year(o_orderdate) end year",
         "case when o_orderkey % 97 = 0 then 13 else month(o_orderdate) end month",
-        "day(o_orderdate) day_of_month",
-        "weekday(o_orderdate) + 1 day_of_week",
-        f"element_at({carriers}, cast(o_custkey % 5 as int) + 1) carrier",
+        "case when o_orderkey % 79 = 0 then 31 when o_orderkey % 73 = 0 then null else day(o_orderdate) end day_of_month",
+        "case when o_orderkey % 71 = 0 then 0 else weekday(o_orderdate) + 1 end day_of_week",
+        "case when o_orderkey % 67 = 0 then 'A' when o_orderkey % 61 = 0 then null"
+        f" when o_orderkey % 11 = 0 then concat(' ', lower(element_at({carriers}, cast(o_custkey % 5 as int) + 1)))"
+        f" else element_at({carriers}, cast(o_custkey % 5 as int) + 1) end carrier",
         f"case when o_orderkey % 83 = 0 then 'ZZZ' else element_at({codes}, cast(o_orderkey % 26 as int) + 1) end origin",
-        f"element_at({codes}, cast((o_custkey * 7) % 26 as int) + 1) dest",
+        f"case when o_orderkey % 59 = 0 then ' SF' when o_orderkey % 13 = 0"
+        f" then lower(element_at({codes}, cast((o_custkey * 7) % 26 as int) + 1))"
+        f" else element_at({codes}, cast((o_custkey * 7) % 26 as int) + 1) end dest",
         f"cast(case when o_orderkey % 89 = 0 then 1275 else {dep} div 60 * 100 + {dep} % 60 end as int) crs_dep_time",
         f"cast({arr} div 60 * 100 + {arr} % 60 as int) crs_arr_time",
     )
@@ -218,12 +222,20 @@ def _sql_list(values: list[str]) -> str:
 
 REQUESTS_SQL = f"""
 requests AS (
-  SELECT o_orderkey AS request_id, cast(NULL AS varchar) AS model_id, cast(year(o_orderdate) AS integer) AS year,
+  SELECT o_orderkey AS request_id,
+    CASE o_orderkey % 6 WHEN 1 THEN ' RF ' WHEN 2 THEN 'lr' WHEN 3 THEN 'gbt' WHEN 4 THEN '  ' END AS model_id,
+    CASE WHEN o_orderkey % 101 = 0 THEN 1986 ELSE cast(year(o_orderdate) AS integer) END AS year,
     CASE WHEN o_orderkey % 97 = 0 THEN 13 ELSE cast(month(o_orderdate) AS integer) END AS month,
-    cast(day(o_orderdate) AS integer) AS day_of_month, cast(isodow(o_orderdate) AS integer) AS day_of_week,
-    ({_sql_list(CARRIERS)})[o_custkey % 5 + 1] AS carrier,
+    CASE WHEN o_orderkey % 79 = 0 THEN 31 WHEN o_orderkey % 73 = 0 THEN NULL
+      ELSE cast(day(o_orderdate) AS integer) END AS day_of_month,
+    CASE WHEN o_orderkey % 71 = 0 THEN 0 ELSE cast(isodow(o_orderdate) AS integer) END AS day_of_week,
+    CASE WHEN o_orderkey % 67 = 0 THEN 'A' WHEN o_orderkey % 61 = 0 THEN NULL
+      WHEN o_orderkey % 11 = 0 THEN ' ' || lower(({_sql_list(CARRIERS)})[o_custkey % 5 + 1])
+      ELSE ({_sql_list(CARRIERS)})[o_custkey % 5 + 1] END AS carrier_sent,
     CASE WHEN o_orderkey % 83 = 0 THEN 'ZZZ' ELSE ({_sql_list(CODES)})[o_orderkey % 26 + 1] END AS origin,
-    ({_sql_list(CODES)})[(o_custkey * 7) % 26 + 1] AS dest,
+    CASE WHEN o_orderkey % 59 = 0 THEN ' SF' WHEN o_orderkey % 13 = 0 THEN lower(({_sql_list(CODES)})[(o_custkey * 7) % 26 + 1])
+      ELSE ({_sql_list(CODES)})[(o_custkey * 7) % 26 + 1] END AS dest_sent,
+    upper(trim(carrier_sent)) AS carrier, upper(trim(dest_sent)) AS dest,
     cast(CASE WHEN o_orderkey % 89 = 0 THEN 1275
       ELSE ((o_orderkey * 37) % 1440) // 60 * 100 + ((o_orderkey * 37) % 1440) % 60 END AS integer) AS crs_dep_time,
     cast(((o_orderkey * 37 + 45 + (o_custkey * 7) % 300) % 1440) // 60 * 100

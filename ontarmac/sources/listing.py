@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import html
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ontarmac import constants as K
 from ontarmac.functions.casts import as_column
 
-# fixed values: one listing entry
-STAMP = r"\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{2}\s+[AP]M"
-ENTRY = rf'(?i)({STAMP})\s+(\d+)\s+<A\s+HREF="(?:/PREZIP/)?({K.LISTED_NAME})"'
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # as in the archive source
 
-# fixed values: character references that may stand for characters of an entry
-REFERENCES = {"&quot;": '"', "&#34;": '"', "&lt;": "<", "&gt;": ">", "&nbsp;": " ", "&#40;": "(", "&#41;": ")", "&amp;": "&"}
+# fixed value: one listing entry
+ENTRY = rf'(?i)(\d{{1,2}}/\d{{1,2}}/\d{{4}}\s+\d{{1,2}}:\d{{2}}\s+[AP]M)\s+(\d+)\s+<A\s+HREF="(?:/PREZIP/)?({K.LISTED_NAME})"'
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -20,11 +23,15 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "line")
 
 
+def _plain(lines: pd.Series) -> pd.Series:
+    return lines.map(html.unescape, na_action="ignore")
+
+
 def _unescaped(column: str | Column) -> Column:
-    result = as_column(column)
-    for reference, character in REFERENCES.items():
-        result = F.replace(result, F.lit(reference), F.lit(character))
-    return result
+    """Text with its character references undone; blanks that do not break count as blanks."""
+    text = as_column(column)
+    undone = F.when(text.contains("&"), F.pandas_udf(_plain, "string")(text)).otherwise(text)
+    return F.replace(undone, F.lit("\u00a0"), F.lit(" "))
 
 
 def listed_files(pages: DataFrame, column: str = "line") -> DataFrame:

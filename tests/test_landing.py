@@ -146,7 +146,7 @@ def test_listing_page(spark, tmp_path):
     page = (
         '<pre><A HREF="/">up</A><br> 7/11/2024 12:05 AM     31000 <A HREF="/PREZIP/' + long + '">x</A><br>'
         ' 6/01/2024  1:05 PM     30000 <a href="' + short + '">x</a><br>\n'
-        "12/31/2024 12:00 PM     29999 <A HREF=&quot;/PREZIP/" + short + "&quot;>x</A><br>"
+        "12/31/2024 12:00 PM     29999 <A HREF=&quot;/PREZIP/" + short.replace("_", "&#95;") + "&#x22;>x</A><br>"
         ' 1/01/2024  1:00 AM   5 <A HREF="/PREZIP/other_2024_5.zip">x</A></pre>'
     )
     (tmp_path / "index.html").write_text(page)

@@ -7,7 +7,7 @@ last, which is what repeating the search would give, and then one of its lengths
 the plan has a few combinations per length at most, whatever the number of pieces.
 
 Pieces are then numbered within their length by tasks, and looked up in the plan. Numbering deals each length, which may
-hold a third of all pieces, over salts by document and adds the counts of the salts before.
+hold a third of all pieces, over groups of about ``pieces_per_salt`` by document and adds the counts of the groups before.
 
 Defined results: a null or empty text is the end token alone. Rows repeated with the same id are further documents. An
 empty table gives an empty result. Other columns are not looked at.
@@ -29,7 +29,7 @@ from ontarmac.llm import common
 from ontarmac.session import cut
 
 CAPACITY = 4096
-PIECES_PER_SALT = 200_000
+PIECES_PER_SALT = 2_000
 CACHED_WORDS = 800_000
 
 
@@ -250,9 +250,10 @@ def _slots(found: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
 # --- numbering and looking up ----------------------------------------------------------------------
 
 
-def _numbered(pieces: DataFrame, salts: int) -> DataFrame:
-    """``number`` from 0 within each length."""
-    spread = pieces.withColumn("salt", F.pmod(F.xxhash64("id", "piece"), F.lit(salts)))
+def _numbered(pieces: DataFrame, salts: dict[int, int]) -> DataFrame:
+    """``number`` from 0 within each length, whose pieces are dealt over ``salts`` groups."""
+    dealt = pieces.sparkSession.createDataFrame(list(salts.items()), "length long, salts long")  # one row per length
+    spread = pieces.join(F.broadcast(dealt), "length").withColumn("salt", F.pmod(F.xxhash64("id", "piece"), "salts"))
     sums = spread.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -261,7 +262,7 @@ def _numbered(pieces: DataFrame, salts: int) -> DataFrame:
         spread.withColumn("number", F.row_number().over(within) - 1)
         .join(starts, ["length", "salt"])
         .withColumn("number", (F.col("number") + F.col("first")).cast("long"))
-        .drop("salt", "first")
+        .drop("salt", "salts", "first")
     )
 
 
@@ -294,7 +295,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_salt: int = PIE
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     spark = pieces.sparkSession
     slots = spark.sparkContext.broadcast(_slots(plan(counts, capacity)))
-    salts = max(1, -(-max(counts.values(), default=0) // pieces_per_salt))
+    salts = {length: -(-n // pieces_per_salt) for length, n in counts.items()}
     numbered = _numbered(pieces, salts).select(*pieces.columns, "number")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     return numbered.mapInArrow(_lookup(slots), f"{schema}, sequence_id long, offset long")

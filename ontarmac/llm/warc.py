@@ -99,6 +99,8 @@ def _writer(folder: str):
                     size, records = size + len(member), records + 1
         if stream:
             stream.close()
+            if files.get_file_info(f"{root}/{name}").type != pafs.FileType.NotFound:
+                files.delete_file(f"{root}/{name}")  # of an attempt whose task was lost
             files.move(started, f"{root}/{name}")
             yield pa.RecordBatch.from_pydict({"path": [name], "length": [size], "records": [records]})
 

@@ -52,7 +52,8 @@ def keep_ids(docs: DataFrame, ids: DataFrame, repeated: DataFrame, id_col: str =
 
     ``repeated`` holds the ids that several equal rows have; one of those rows is returned.
     """
-    kept = docs.join(ids, docs[id_col].eqNullSafe(ids["id"]), "left_semi")
+    # the ids grow with the documents, so they are not broadcast even while they are few
+    kept = docs.join(ids.hint("merge"), docs[id_col].eqNullSafe(ids["id"]), "left_semi")
     if repeated.isEmpty():
         return kept
     match = kept[id_col].eqNullSafe(repeated["id"])

@@ -222,5 +222,5 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     wanted = found.withColumn("copies", copies).groupBy("id", "size").agg(F.max("copies").alias("copies"))
     wanted = wanted.filter("copies > 0").select(F.col("id").alias("_mix_id"), F.col("size").alias("_mix_size"), F.col("copies").alias("_mix_copies"))
     same = docs[id_col].eqNullSafe(wanted["_mix_id"]) & (common.word_count(docs[text_col]) == wanted["_mix_size"])
-    joined = docs.join(wanted, same)
+    joined = docs.join(wanted.hint("merge"), same)  # not broadcast even while they are few
     return joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "_mix_copies")).alias("_mix_copy")).drop("_mix_copy")

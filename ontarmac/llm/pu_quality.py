@@ -15,10 +15,10 @@ empty table gives an empty result. Other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -147,35 +147,43 @@ def fold(id_col: str | Column, folds: int = FOLDS) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
-def _sample(rows: DataFrame, n: int) -> np.ndarray:
-    taken = rows.orderBy(F.xxhash64("id"), "id").limit(n).select("features").toArrow()
-    return np.array(taken.column("features").to_pylist(), float).reshape(-1, len(text_stats.FEATURES))
+def _lowest(rows: DataFrame, n: int) -> DataFrame:
+    return rows.orderBy(F.xxhash64("id"), "id").limit(n)
 
 
 def train(
-    stats: DataFrame,
+    docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
+    text_col: str = "text",
     label_col: str = "quality",
     max_positive: int = MAX_POSITIVE,
     max_unlabelled: int = MAX_UNLABELLED,
 ) -> tuple[Network, float] | None:
-    """Fit on rows outside the held-out fold: those labelled 1 against a sample of all."""
-    good = labels.filter(labels[label_col] == 1).select(labels[id_col].alias("label_id"))
-    open_rows = stats.filter(fold("id") != HELD_OUT)
-    positive = _sample(open_rows.join(good, open_rows["id"] == good["label_id"], "left_semi"), max_positive)
-    unlabelled = _sample(open_rows, max_unlabelled)
-    return fit(positive, unlabelled) if len(positive) and len(unlabelled) else None
+    """Fit on rows outside the held-out fold: those labelled 1 against a sample of all.
 
+    The ids are drawn first; only the texts of the drawn rows (at most ``max_positive + max_unlabelled``) are measured.
+    """
+    good = labels.filter(labels[label_col] == 1).select(labels[id_col].alias("label_id"))
+    ids = docs.select(docs[id_col].alias("id")).filter(fold("id") != HELD_OUT)
+    positive = _lowest(ids.join(good, ids["id"] == good["label_id"], "left_semi"), max_positive)
+    drawn = cut(
+        positive.distinct().withColumn("good", F.lit(True)).unionByName(
+            _lowest(ids, max_unlabelled).distinct().withColumn("good", F.lit(False))
+        )
+    )
+    wanted = F.broadcast(drawn.select(F.col("id").alias("drawn_id")).distinct())
+    rows = docs.join(wanted, docs[id_col] == F.col("drawn_id"), "left_semi")
+    stats = cut(text_stats.measured(rows, id_col, text_col).select("id", "features"))
+    table = stats.join(drawn, "id").orderBy("id", "good").select("features", "good").toArrow()
+    x = np.array(table.column("features").to_pylist(), float).reshape(-1, len(text_stats.FEATURES))
+    is_good = table.column("good").to_numpy().astype(bool)
+    return fit(x[is_good], x[~is_good]) if is_good.any() and not is_good.all() else None
 
-def _scores(model, width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = batch.column("features").flatten().to_numpy()
-            score = model.score(flat.reshape(-1, width)) if batch.num_rows else np.zeros(0)
-            yield batch.select(["id"]).append_column("score", pa.array(score))
 
-    return run
+def _scores(model: Network, texts: list[str]) -> np.ndarray:
+    rows = [text_stats.measure(t)[1] for t in texts]
+    return model.score(np.array(rows, float).reshape(-1, len(text_stats.FEATURES)))
 
 
 def classify(
@@ -187,18 +195,17 @@ def classify(
     max_positive: int = MAX_POSITIVE,
     max_unlabelled: int = MAX_UNLABELLED,
 ) -> DataFrame:
-    """Per row of ``docs``: ``id``, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 for good).
-
-    Texts are read once; their statistics are written, and training and scoring start from these.
-    """
-    stats = cut(text_stats.measured(docs, id_col, text_col))
-    model = train(stats, labels, id_col, label_col, max_positive, max_unlabelled)
+    """Per row of ``docs``: ``id``, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 for good); map-only once trained."""
+    model = train(docs, labels, id_col, text_col, label_col, max_positive, max_unlabelled)
+    rows = common.two_columns(docs, id_col, text_col)
     if model is None:
-        scored = stats.select("id", F.lit(0.5).alias("score"))
+        scored = rows.select("id", F.lit(0.5).alias("score"))
     else:
-        scored = stats.select("id", "features").mapInArrow(
-            _scores(model[0], len(text_stats.FEATURES)), f"id {common.id_type(docs, id_col)}, score double"
-        )
+
+        def of(texts: list[str]) -> dict[str, list]:
+            return {"score": _scores(model[0], texts)}
+
+        scored = rows.mapInArrow(common.per_text(of, {"score": pa.float64()}), f"id {common.id_type(docs, id_col)}, score double")
     return scored.select(
         "id",
         F.coalesce(fold("id") == HELD_OUT, F.lit(False)).alias("held_out"),
@@ -210,7 +217,12 @@ def classify(
 def keep_good(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
 ) -> DataFrame:
-    """``docs`` without the documents classified as bad; all columns kept, rows of one id kept together."""
-    found = classify(docs, labels, id_col, text_col, **settings)
-    good = cut(found.filter("predicted = 1").select("id").distinct())
-    return docs.join(good, docs[id_col].eqNullSafe(good["id"]), "left_semi")
+    """``docs`` without the documents classified as bad; all columns kept. The texts do not move."""
+    model = train(docs, labels, id_col, text_col, **settings)
+    if model is None:
+        return docs
+
+    def good(texts: pd.Series) -> pd.Series:
+        return pd.Series(_scores(model[0], texts.tolist()) >= 0.5)
+
+    return docs.filter(F.pandas_udf(good, "boolean")(F.coalesce(docs[text_col].cast("string"), F.lit(""))))

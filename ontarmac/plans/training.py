@@ -10,6 +10,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ontarmac import constants as K
 from ontarmac.operators import evaluation as E, features as X, leaderboard as L, sampling, scoring, stages, summaries
+from ontarmac.session import scratch_job
 from ontarmac.sources import curated
 
 
@@ -74,9 +75,10 @@ def compare(
         for name in names:
             model = stages.classifier(name, settings).fit(train)
             predictions = model.transform(held_out)
-            metrics = E.as_long(E.evaluate(predictions, ["split"], E.class_score()), ["split"])
-            # ten numbers per model
-            measured += [(name, *r) for r in metrics.select("split", "metric", "value", "metric_name").collect()]
+            with scratch_job(spark):
+                metrics = E.as_long(E.evaluate(predictions, ["split"], E.class_score()), ["split"])
+                # ten numbers per model
+                measured += [(name, *r) for r in metrics.select("split", "metric", "value", "metric_name").collect()]
             previews[name] = scoring.preview(model.transform(few), preview_rows)
             fitted[name] = stages.assembled(encoder, model)
     finally:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,9 +40,30 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_job_paths: ContextVar[list[str] | None] = ContextVar("job_paths", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (paths := _job_paths.get()) is not None:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_job(spark: SparkSession):
+    """Removes what is written to scratch within it, for jobs whose results do not read it any more."""
+    paths: list[str] = []
+    token = _job_paths.set(paths)
+    try:
+        yield
+    finally:
+        _job_paths.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from ontarmac import constants as K
+from ontarmac import constants as K, session
 from ontarmac.checks import tables
 from ontarmac.operators import evaluation as E, features as X, history, leaderboard as L, scoring as R, stages
 from ontarmac.plans import serving, training
@@ -137,6 +137,12 @@ def test_history_columns_can_be_model_inputs_and_be_served(spark, folder, flight
     assert scored.count() + rejects.count() == requests.count() and scored.count() > 0
 
 
+def test_comparing_leaves_no_scratch_files(spark, table, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    training.compare(table, "lr", train_fraction=0.3, valid_fraction=0.3, test_fraction=0.3, settings=SETTINGS)
+    assert not list(tmp_path.iterdir())
+
+
 def test_shared_stages_give_the_same_model_as_a_pipeline(comparison, table):
     whole = stages.pipeline("rf", SETTINGS).fit(X.of_split(table, "train"))
     held_out = X.of_split(table, "test")

@@ -47,15 +47,28 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame, repeated: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids`` (column ``id``, without repetition), null matching null.
+def text_digest(text: Column, fold: bool = False) -> Column:
+    """SHA-256 of a text, null as empty; with ``fold`` of the text with A-Z lower-cased. Computed where the rows are."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    return F.unhex(F.sha2(F.translate(text, UPPER, LOWER) if fold else text, 256))
 
-    ``repeated`` holds the ids that several equal rows have; one of those rows is returned.
+
+def keep_rows(
+    docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: bool = False
+) -> DataFrame:
+    """One row of ``docs`` per row of ``kept`` (``id``, ``digest`` of :func:`text_digest`, ``many``), null ids matching null.
+
+    The decision is per id and text, so rows that share an id only are told apart. ``many`` marks what several rows of
+    ``docs`` have in common; of these the one with the smallest text stays, texts that differ in case being one digest.
     """
-    # the ids grow with the documents, so they are not broadcast even while they are few
-    kept = docs.join(ids.hint("merge"), docs[id_col].eqNullSafe(ids["id"]), "left_semi")
-    if repeated.isEmpty():
-        return kept
-    match = kept[id_col].eqNullSafe(repeated["id"])
-    once = kept.join(repeated, match, "left_semi").dropDuplicates([id_col, "text"])
-    return kept.join(repeated, match, "left_anti").unionByName(once)
+    digest = text_digest(docs[text_col], fold)
+    marked = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs[id_col].alias("own"), digest.alias("mark"))
+    # what is kept grows with the documents, so it is not broadcast even while it is little
+    match = (F.col("mark") == F.col("digest")) & F.col("own").eqNullSafe(F.col("id"))
+    found = marked.join(kept.hint("merge"), match).select("doc", "mark", "many")
+    if kept.filter("many").isEmpty():
+        return found.select("doc.*")
+    # one digest is kept under one id only, so the digest is the key
+    text = F.coalesce(F.col("doc").getField(text_col).cast("string"), F.lit(""))
+    once = found.filter("many").groupBy("mark").agg(F.min_by("doc", text).alias("doc"))
+    return found.filter("not many").select("doc.*").unionByName(once.select("doc.*"))

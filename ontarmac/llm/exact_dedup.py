@@ -253,7 +253,7 @@ def half_by_id(id_col: str = "doc_id") -> Column:
 
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that equal another; all columns kept."""
-    found = cut(dedup(docs, half_by_id(id_col), id_col, text_col).select("id", "kept"))
-    counts = cut(found.groupBy("id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept")))
-    return common.keep_ids(docs, counts.filter("kept").select("id"), counts.filter("rows > 1").select("id"), id_col)
+    """``docs`` without the rows that equal another, whatever their ids; all columns kept."""
+    found = dedup(docs, half_by_id(id_col), id_col, text_col).select("id", "kept", F.unhex("text_sha256").alias("digest"))
+    counts = found.groupBy("id", "digest").agg((F.count("*") > 1).alias("many"), F.max("kept").alias("kept"))
+    return common.keep_rows(docs, cut(counts.filter("kept").drop("kept")), id_col, text_col, fold=True)

@@ -17,8 +17,8 @@ found by rounds of joins (large star, small star), written to the shared folder.
 
 Defined results: a null, empty or blank text has no shingles and fingerprint zero, which links like any other. A text
 with fewer words than a shingle is one shingle. Null ids are not counted as smallest unless a component has no other.
-Rows
-repeated share a fingerprint; an id stands for one document, whose repeated rows stay or go together. An empty table gives an empty result. Other columns are not looked at.
+Rows repeated share a fingerprint, and of a component one row survives, whatever the ids. An empty table gives an
+empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -295,8 +295,10 @@ def near_dedup(
 
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; all columns kept."""
-    found = cut(near_dedup(docs, id_col, text_col, **settings))
-    first = F.col("id").eqNullSafe(F.col("component_id"))
-    counts = cut(found.groupBy("id").agg(F.count("*").alias("rows"), F.max(first).alias("kept")))
-    return common.keep_ids(docs, counts.filter("kept").select("id"), counts.filter("rows > 1").select("id"), id_col)
+    """``docs`` with one row of each component, the smallest id's (of its texts the one of the smallest SHA-256); all columns kept."""
+    key = F.struct(docs[id_col].alias("id"), common.text_digest(docs[text_col]).alias("digest"))
+    # an id alone does not tell rows apart: the digest goes with it, and nulls come last as in a component's smallest id
+    named = docs.select(F.struct(docs[id_col].isNull().alias("none"), *[key[c].alias(c) for c in ("id", "digest")]).alias("id"), docs[text_col].alias("text"))
+    found = near_dedup(named, "id", "text", **settings).filter(F.col("id") == F.col("component_id"))
+    kept = found.groupBy("id.id", "id.digest").agg((F.count("*") > 1).alias("many"))
+    return common.keep_rows(docs, cut(kept), id_col, text_col)

@@ -3,7 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from ontarmac.llm import exact_dedup, mixing, packing
+from ontarmac.llm import exact_dedup, mixing, packing, simhash
 from tests.llm.test_packing import checked
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
@@ -61,3 +61,14 @@ def test_repeated_rows_count_once(spark):
     rows = [(1, "a b"), (1, "a b"), (2, "c d"), (None, "e"), (None, "e")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["text"] for r in exact_dedup.survivors(docs).collect()) == ["a b", "c d", "e"]
+
+
+def test_rows_that_share_an_id_only_are_told_apart(spark):
+    rows = [(None, "e"), (9, "e"), (None, "f"), (None, "G h"), (None, "g H"), (5, "f g"), (5, "f"), (None, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in exact_dedup.survivors(docs).collect())
+    assert got == [(0, "G h"), (5, ""), (5, "f"), (5, "f g"), (9, "e")]
+    rows = [(None, "e"), (9, "E"), (None, "f"), (None, "G h"), (None, "g H"), (5, "f g"), (5, "E"), (5, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"] or 0, r["text"].lower()) for r in simhash.survivors(docs).collect()]
+    assert sorted(kept) == [(0, "g h"), (5, "e"), (5, "f"), (5, "f g")]

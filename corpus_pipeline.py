@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over whole documents, each written as Parquet and read again by the next.
 
-Every stage takes ``(spark, docs, sf_dir)`` and works on all rows the stage before has kept. The first three drop documents,
-the fourth repeats or drops them to reach the sources' targets, the last cuts and packs their tokens into sequences. All but
+Every stage takes ``(spark, docs, sf_dir)`` and works on all rows the stage before has kept. The first four drop documents,
+the fifth repeats or drops them to reach the sources' targets, the last cuts and packs their tokens into sequences. All but
 the last return the columns of ``docs``. Ids may be null and rows may repeat; what each stage makes of them is
 stated with its operator. An empty table goes through all stages.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ontarmac.llm import exact_dedup, mixing, packing, pu_quality, simhash
+from ontarmac.llm import exact_dedup, mixing, packing, pu_quality, similar, simhash
 from ontarmac.session import cut
 
 
@@ -30,6 +30,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.survivors(docs)
 
 
+def similar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that share 80 % of their five-word shingles, by links of such, the one with the smallest id."""
+    return similar.survivors(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
     return mixing.mixed(docs)
@@ -45,6 +50,7 @@ STAGES = [
     ("quality classifier", quality_classifier),
     ("exact dedup", exact_duplicates),
     ("SimHash near-dedup", near_duplicates),
+    ("similar shingle sets", similar_documents),
     ("mixing sources", source_mix),
     ("best-fit packing", packed),
 ]

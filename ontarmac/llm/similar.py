@@ -1,0 +1,219 @@
+"""Near-dedup by the Jaccard similarity of shingle sets, exact.
+
+A text is lower-cased in A-Z and cut into its set of distinct shingles of ``shingle`` words (XXH64, seed 42). Texts link when
+their sets have at least the Jaccard similarity ``similarity``; of the texts that links join one stays.
+
+All such pairs are found, by prefix filter: with the shingles of all sets in one order, two similar sets share one of
+the first few shingles of either (a fifth of them at 0.8). Only these are moved, and those of one text only are dropped
+at once. Shingles that many texts of a sample have come last in the order; the sample decides the work, not the result. Texts
+that share a shingle are compared by their whole sets. First each is compared with one head per shingle if they share
+half of the prefix, which brings large groups of near copies together without comparing all their pairs; then all that share
+a shingle and are in different components still.
+
+Defined results: a null, empty or blank text has no shingles and is similar to none. A text with fewer words than a shingle
+is one shingle. Of a component the row with the smallest id stays, null coming last, and of several texts under that id the
+one with the smallest SHA-256; rows repeated with equal id and text are one. An empty table gives an empty result.
+Other columns are not looked at. A text is known by the first 64 bits of its SHA-256.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from ontarmac.llm import common
+from ontarmac.llm.simhash import SEED, components
+from ontarmac.session import cut
+
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
+#: The sample that sets the order: about so many texts, shingles of so many of them, and so many shingles.
+ORDER_DOCS, ORDER_LEAST, ORDER_SHINGLES = 20_000, 4, 100_000
+#: The share of a prefix that a head must have.
+STAR_SHARE = 0.5
+#: Texts a task remembers, so that it leaves out copies.
+SEEN_TEXTS = 1 << 16
+
+
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    """The distinct shingles of a text as sorted hashes; none without words."""
+    from xxhash import xxh64_intdigest
+
+    words = text.encode().lower().split()
+    if not words:
+        return np.zeros(0, np.int64)
+    joined = b" ".join(words)
+    if len(words) <= shingle:
+        return np.array([xxh64_intdigest(joined, SEED)], np.uint64).view(np.int64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    starts = (ends - lengths)[: len(words) - shingle + 1].tolist()
+    hashes = [xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist())]
+    return np.unique(np.array(hashes, np.uint64).view(np.int64))
+
+
+def least_shared(n: int, similarity: float) -> int:
+    """How many of ``n`` shingles a set must share with any set that similar."""
+    return math.ceil(similarity * n - 1e-9)
+
+
+def prefix(shingles: np.ndarray, common_ones: np.ndarray, similarity: float) -> np.ndarray:
+    """So many of the first shingles in one order for all (common ones last) that similar sets share one of them."""
+    if len(common_ones) and len(shingles):
+        at = np.minimum(np.searchsorted(common_ones, shingles), len(common_ones) - 1)
+        late = common_ones[at] == shingles
+        shingles = np.concatenate([shingles[~late], shingles[late]])
+    return shingles[: len(shingles) - least_shared(len(shingles), similarity) + 1]
+
+
+def _common_shingles(texts: DataFrame, count: int, shingle: int) -> np.ndarray:
+    """Shingles that several of a sample of the texts have. They set the order of prefixes only; any order finds all pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text, shingle))], names=["s"])
+
+    part = texts.filter(F.pmod(F.xxhash64("key"), F.lit(max(1, -(-count // ORDER_DOCS)))) == 0).select("text")
+    counts = part.mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("n"))
+    rows = counts.filter(F.col("n") >= ORDER_LEAST).orderBy(F.desc("n"), "s").limit(ORDER_SHINGLES).collect()
+    return np.sort(np.array([r["s"] for r in rows], np.int64))
+
+
+def _prefixes(common_ones: np.ndarray, similarity: float, shingle: int):
+    """Per shingle of a prefix a row ``s``, ``key`` and ``n``; copies a task meets again are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for start in range(0, batch.num_rows, common.SLICE_ROWS):
+                part = batch.slice(start, common.SLICE_ROWS)
+                out: list[tuple] = []
+                for key, text in zip(part.column("key").to_pylist(), part.column("text").to_pylist()):
+                    if key in seen:
+                        continue
+                    if len(seen) < SEEN_TEXTS:
+                        seen.add(key)
+                    shingles = shingle_set(text, shingle)
+                    if len(shingles):
+                        first = prefix(shingles, common_ones, similarity)
+                        out.append((first, np.full(len(first), key, np.int64), np.full(len(first), len(shingles), np.int32)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["s", "key", "n"])
+
+    return run
+
+
+def _grouped_rows(batches: Iterator[pa.RecordBatch], rows_at_once: int) -> Iterator[pa.Table]:
+    """Tables of rows sorted by ``s`` that hold whole groups."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < rows_at_once:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        s = table.column("s").to_numpy()
+        whole = int(np.searchsorted(s, s[-1], side="left"))
+        if whole:
+            yield table.slice(0, whole)
+        held = table.slice(whole).to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        if table.num_rows:
+            yield table
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted rows those whose shingle another text has too; a text counts once."""
+    for table in _grouped_rows(batches, 1 << 16):
+        s, key = table.column("s").to_numpy(), table.column("key").to_numpy()
+        starts = np.concatenate([[True], s[1:] != s[:-1]])
+        table = table.filter(pa.array(starts | np.concatenate([[True], key[1:] != key[:-1]])))
+        s = table.column("s").to_numpy()
+        same = s[1:] == s[:-1]
+        yield from table.filter(pa.array(np.concatenate([[False], same]) | np.concatenate([same, [False]]))).to_batches()
+
+
+def _apart(similarity: float):
+    """Pairs of texts that share a shingle, are in two components and do not differ too much in size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _grouped_rows(batches, 1 << 16):
+            s, key, root, n = (table.column(c).to_numpy() for c in ("s", "key", "root", "n"))
+            ends = np.searchsorted(s, s, side="right")
+            others = ends - np.arange(len(s)) - 1  # rows behind each row in its group
+            done = np.concatenate([[0], np.cumsum(others)])
+            for at in range(0, int(done[-1]), 1 << 20):
+                pair = np.arange(at, min(at + (1 << 20), int(done[-1])))
+                i = np.searchsorted(done, pair, side="right") - 1
+                j = i + 1 + pair - done[i]
+                small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+                good = (root[i] != root[j]) & (small >= similarity * large - 1e-9)
+                i, j = i[good], j[good]
+                swap = key[i] > key[j]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
+                yield pa.RecordBatch.from_arrays([pa.array(key[i]), pa.array(key[j])], names=["a", "b"])
+
+    return run
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Links ``(u, v)`` of the pairs whose shingle sets are that similar, by the sets themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, shingle) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.list_(pa.int64()))], names=["key", "set"])
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    some = texts.join(wanted.hint("merge"), "key", "left_semi").dropDuplicates(["key"]).select("key", "text")
+    sets = cut(some.mapInArrow(run, "key long, set array<long>"))
+    both = pairs.join(sets.toDF("a", "a_set").hint("merge"), "a").join(sets.toDF("b", "b_set").hint("merge"), "b")
+    inter = F.size(F.array_intersect("a_set", "b_set"))
+    union = F.size("a_set") + F.size("b_set") - F.col("inter")
+    near = both.withColumn("inter", inter).filter(F.col("inter") >= similarity * union - 1e-9)
+    return near.select(F.col("b").alias("u"), F.col("a").alias("v"))
+
+
+def survivors(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE_WORDS,
+    similarity: float = SIMILARITY,
+) -> DataFrame:
+    """``docs`` with one row of each component; all columns kept."""
+    key = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long").alias("key")
+    digest = common.text_digest(docs[text_col]).alias("digest")
+    text = F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")
+    rows = cut(docs.select(docs[id_col].alias("id"), digest).select("id", "digest", key))
+    texts = docs.select(digest, text).select(key, "text")
+
+    common_ones = _common_shingles(texts, rows.count(), shingle)
+    spread = texts.mapInArrow(_prefixes(common_ones, similarity, shingle), "s long, key long, n int")
+    shared = cut(spread.repartition("s").sortWithinPartitions("s", "key").mapInArrow(_shared, "s long, key long, n int"))
+
+    size = F.least("n", "h.n")
+    heads = shared.groupBy("s").agg(F.min(F.struct("key", "n")).alias("h"))
+    stars = (
+        shared.join(heads.hint("merge"), "s")
+        .filter((F.col("key") != F.col("h.key")) & (size >= similarity * F.greatest("n", "h.n") - 1e-9))
+        .groupBy(F.col("h.key").alias("a"), F.col("key").alias("b"))
+        .agg(F.count("*").alias("shared"), F.first(size).alias("size"))
+        .filter(F.col("shared") >= STAR_SHARE * (1 - similarity) * F.col("size"))
+    )
+    links = cut(_confirmed(cut(stars.select("a", "b")), texts, similarity, shingle))
+    roots = cut(components(links).toDF("key", "root"))
+    rooted = shared.join(roots.hint("merge"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    ordered = rooted.select("s", "key", "root", "n").repartition("s").sortWithinPartitions("s", "key")
+    pairs = cut(ordered.mapInArrow(_apart(similarity), "a long, b long").distinct())
+    if not pairs.isEmpty():
+        roots = cut(components(links.union(_confirmed(pairs, texts, similarity, shingle))).toDF("key", "root"))
+
+    each = rows.groupBy("id", "digest", "key").agg((F.count("*") > 1).alias("many"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest", "many")).alias("first")
+    kept = each.join(roots.hint("merge"), "key", "left").groupBy(F.coalesce("root", "key").alias("root")).agg(first)
+    return common.keep_rows(docs, cut(kept.select("first.id", "first.digest", "first.many")), id_col, text_col)

@@ -1,0 +1,62 @@
+"""Similar shingle sets: against brute force, and what the pipeline leaves."""
+
+import random
+
+import corpus_pipeline
+from ontarmac.llm import similar
+from tests.llm.test_simhash import plain_fingerprint
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+def shingles(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def near_copies():
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for size in (1, 4, 6, 40, 60, 120, 400):
+        for _ in range(6):
+            base = [rng.choice(words) for _ in range(size)]
+            for changes in (0, 0, 1, 1, 2, 4, 8):
+                copy = list(base)
+                for _ in range(changes):
+                    copy[rng.randrange(size)] = rng.choice(words)
+                texts.append(" ".join(copy))
+    notice = " ".join(rng.choice(words) for _ in range(30))
+    return texts + [f"{notice} {rng.choice(words)} {i}" for i in range(40)] + ["", None]
+
+
+def test_near_copies_match_brute_force_jaccard(spark, monkeypatch):
+    texts = near_copies()
+    sets, fps = [shingles(t) for t in texts], [plain_fingerprint(t) for t in texts]
+    root = list(range(len(texts)))
+    wide = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if texts[i] == texts[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) > 0 or not (texts[i] or texts[j]):
+                wide += (fps[i] ^ fps[j]).bit_count() > 3
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    assert wide > 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for share in (0, 0.5, 9):
+        monkeypatch.setattr(similar, "STAR_SHARE", share)
+        kept = [r["doc_id"] for r in similar.survivors(docs).collect()]
+        assert sorted(kept) == sorted(set(root))
+
+
+def test_no_near_copies_stay_in_the_pipeline(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    for name in names[1 : names.index("mixing sources")]:
+        docs = STAGES[name](spark, docs, "").cache()
+    sets, places = [shingles(r["text"]) for r in docs.collect()], {}
+    for i, grams in enumerate(sets):
+        for g in grams:
+            places.setdefault(g, []).append(i)
+    pairs = {(i, j) for p in places.values() if len(p) < 200 for j in p for i in p if i < j}
+    assert not [1 for i, j in pairs if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]

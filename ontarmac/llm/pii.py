@@ -2,14 +2,15 @@
 
 Base spans (:func:`base_spans`) are fixed rules and always stay. Further candidates are what loose patterns find: mail
 addresses written out (``name at host dot org``), numbers of 7 digits or more with separators, dotted or coloured number groups,
-identity and bank numbers, and names behind a title. On each candidate several labelers vote yes, no or
-nothing: the base rules, strict patterns and check digits, gazetteers (mail hosts, given names, titles, units), and the words
-before it. Expectation-maximisation over the votes of all candidates of the corpus, counted by vote pattern, estimates every
+identity and bank numbers, and names behind a title; and what the base rules nearly take: numbers with wrong check digits
+or octets, numbers behind a plus of a wrong length, and bare runs of 7 to 15 digits. On each candidate and each base
+span several labelers vote yes, no or nothing: the base rules, strict patterns and check digits, gazetteers (mail hosts, given names, titles, units), and the words
+before it. Expectation-maximisation over the votes of all base spans and candidates of the corpus, counted by vote pattern, estimates every
 labeler's reliability and the share of true candidates per kind, without any labelled data. The posterior of each pattern then
-is the target of a logistic regression on features of the span itself, its shape and its context. The classifier decides
-on the candidates that are not base spans.
+is the target of a logistic regression on features of the span itself, its shape and its context. The classifier learns
+from base spans too and decides on the candidates that are not; none is added that no labeler votes for.
 
-Vote patterns are bounded (votes of eight labelers and features that are zeros and ones), so the driver sees counts
+Vote patterns are bounded (votes of nine labelers and features that are zeros and ones), so the driver sees counts
 per pattern, never candidates.
 
 Defined results: a null text is empty and has no spans. A null id gets a row like any other. Rows repeated get equal
@@ -19,6 +20,7 @@ results. An empty table gives an empty result. Other columns are not looked at.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -69,7 +71,8 @@ BEFORE = {
     "person": {"name", "by", "from", "contact", "author", "dear"},
 }
 UNITS = {"isbn", "version", "page", "pages", "figure", "section", "order", "invoice", "line", "date", "chapter", "doi"}
-LABELERS = ["pattern", "check digits", "gazetteer", "words before", "unit before", "repeated digit", "in a number", "neighbour"]
+BARE = re.compile(r"(?<![0-9A-Za-z.+-])[0-9]{7,15}(?![0-9A-Za-z])")
+LABELERS = ["base rules", "pattern", "check digits", "gazetteer", "words before", "unit before", "repeated digit", "in a number", "neighbour"]
 
 
 # --- base spans ------------------------------------------------------------------------------------
@@ -109,7 +112,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return spans
     if text.count(".") >= 3:
-        spans += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in _octets(m[0]))]
+        spans += [("ip", *m.span()) for m in IP.finditer(text) if _in_range(m[0])]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16:
             digits = m[0].replace(" ", "").replace("-", "")
@@ -120,6 +123,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
+def _in_range(found: str) -> bool:
+    return all(int(p) <= 255 for p in _octets(found))
+
+
 def _octets(found: str) -> list[str]:
     # a part longer than any number up to 255 with leading zeros left out fails without a huge conversion
     return [p.lstrip("0")[:4] or "0" for p in found.split(".")]
@@ -139,11 +146,11 @@ def _strict(kind: str, value: str) -> int:
     if kind == "email":
         return 1 if "@" in value or "(at)" in value.lower() or "[at]" in value.lower() else 0
     if kind == "ip":
-        return 1
+        return -1 if "[" not in value and "." in value and not _in_range(value) else 1
     if kind == "card":
         return 1 if value[0] in "3456" and len(digits) in (15, 16) else -1
     if kind == "phone":
-        return 1 if 9 <= len(digits) <= 12 and value[0] in "0(" else -1 if len(digits) < 8 else 0
+        return 1 if 9 <= len(digits) <= 12 and value[0] in "0(+" else -1 if len(digits) < 8 else 0
     if kind == "iban":
         return 1 if 15 <= len(value.replace(" ", "")) <= 34 else -1
     if kind == "ssn":
@@ -159,7 +166,7 @@ def _checked(kind: str, value: str) -> int:
     return 0
 
 
-def votes(kind: str, value: str, before: str, behind: str, base_near: bool) -> list[int]:
+def votes(kind: str, value: str, before: str, behind: str, base_near: bool, by_rule: int = 0) -> list[int]:
     """One vote per labeler: 1 for personal data, -1 against, 0 for none."""
     words = re.findall(r"[\w-]+", before.lower())[-4:]
     parts = set(re.findall(r"[a-z]+", value.lower()))
@@ -170,6 +177,7 @@ def votes(kind: str, value: str, before: str, behind: str, base_near: bool) -> l
     elif kind == "person":
         gazetteer = 1 if parts & GIVEN_NAMES else 0
     return [
+        by_rule,
         _strict(kind, value),
         _checked(kind, value),
         gazetteer,
@@ -198,31 +206,74 @@ def features(vote: list[int], value: str, before: str, behind: str) -> list[int]
     return [int(v > 0) for v in vote] + [int(v < 0) for v in vote] + [int(s) for s in shape]
 
 
-def _overlaps(spans: list[tuple[str, int, int]], start: int, end: int) -> bool:
-    return any(a < end and start < b for _, a, b in spans)
+def _failed(text: str) -> Iterator[tuple[str, int, int]]:
+    """What looks like a base span and fails its rule, and bare runs of digits."""
+    if not _DIGIT.search(text):
+        return
+    for m in IP.finditer(text):
+        if not _in_range(m[0]):
+            yield "ip", *m.span()
+    for m in CARD.finditer(text):
+        if m.end() - m.start() >= 16:
+            digits = m[0].replace(" ", "").replace("-", "")
+            if 16 <= len(digits) <= 19 and not luhn(digits):
+                yield "card", *m.span()
+    for m in PHONE.finditer(text) if "+" in text else ():
+        if not 8 <= len(_DIGIT.findall(m[0])) <= 15:
+            yield "phone", *m.span()
+    for m in BARE.finditer(text):
+        yield "phone", *m.span()
+
+
+class _Judge:
+    """Votes and features of the spans of one text."""
+
+    def __init__(self, text: str, base: list[tuple[str, int, int]]):
+        self.text, self.starts, self.stops = text, sorted(a for _, a, _ in base), sorted(b for _, _, b in base)
+
+    def _near(self, start: int, end: int, own: bool) -> bool:
+        """Whether a base span (but the span itself) ends or begins within 200 characters."""
+        starts = bisect_left(self.starts, end + 200) - bisect_right(self.starts, end - 200)
+        stops = bisect_left(self.stops, start + 200) - bisect_right(self.stops, start - 200)
+        itself = own and end - start < 200
+        return starts > itself or stops > itself
+
+    def __call__(self, kind: str, start: int, end: int, by_rule: int) -> tuple[str, int, int, list[int], list[int]]:
+        text = self.text
+        before, behind, value = text[max(0, start - 40) : start], text[end : end + 10], text[start:end]
+        vote = votes(kind, value, before, behind, self._near(start, end, by_rule > 0), by_rule)
+        return kind, start, end, vote, features(vote, value, before, behind)
+
+
+def judged_base(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int, list[int], list[int]]]:
+    """The base spans with votes and features, as :func:`candidates` has them."""
+    judge = _Judge(text, base)
+    return [judge(*span, 1) for span in base]
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int, list[int], list[int]]]:
-    """Loose matches that no base span overlaps: kind, start, end, votes and features."""
+    """Loose matches and failed ones that no base span overlaps: kind, start, end, votes and features."""
     lowered = text.lower()
     wanted = ["person"]
     if _DIGIT.search(text):
         wanted += ["ip", "card", "phone", "iban", "ssn"]
     if any(s in lowered for s in ("@", " at ", "(at)", "[at]")) and ("dot" in lowered or "@" in lowered):
         wanted.append("email")
-    found, taken = [], list(base)
+    found, judge, taken = [], _Judge(text, base), bytearray(len(text))
+    for _, a, b in base:
+        taken[a:b] = b"\1" * (b - a)
+
+    def take(kind: str, start: int, end: int, by_rule: int) -> None:
+        if taken.find(1, start, end) < 0:
+            found.append(judge(kind, start, end, by_rule))
+            taken[start:end] = b"\1" * (end - start)
+
     for kind in STRICT_FIRST:
-        if kind not in wanted:
-            continue
-        for m in LOOSE[kind].finditer(text):
-            start, end = m.span(m.lastindex or 0)
-            if _overlaps(taken, start, end):
-                continue
-            before, behind, value = text[max(0, start - 40) : start], text[end : end + 10], text[start:end]
-            near = any(abs(a - end) < 200 or abs(start - b) < 200 for _, a, b in base)
-            vote = votes(kind, value, before, behind, near)
-            found.append((kind, start, end, vote, features(vote, value, before, behind)))
-            taken.append((kind, start, end))
+        if kind in wanted:
+            for m in LOOSE[kind].finditer(text):
+                take(kind, *m.span(m.lastindex or 0), 0)
+    for span in _failed(text):
+        take(*span, -1)
     return found
 
 
@@ -272,14 +323,14 @@ _SPAN_TYPE = pa.list_(
 
 
 def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``base`` (spans without votes) and ``loose`` (candidates) of every row."""
+    """``id``, ``base`` (base spans) and ``loose`` (candidates) of every row, each with votes and features."""
 
     def of(texts: list[str]) -> dict[str, list]:
         base, loose = [], []
         for text in texts:
             spans = base_spans(text)
-            base.append([{"kind": k, "start": a, "stop": b, "votes": [], "features": []} for k, a, b in spans])
             names = ("kind", "start", "stop", "votes", "features")
+            base.append([dict(zip(names, c)) for c in judged_base(text, spans)])
             loose.append([dict(zip(names, c)) for c in candidates(text, spans)])
         return {"base": base, "loose": loose}
 
@@ -288,11 +339,14 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.mapInArrow(common.per_text(of, {"base": _SPAN_TYPE, "loose": _SPAN_TYPE}), schema)
 
 
-def train(found: DataFrame) -> dict[str, np.ndarray]:
-    """A span classifier per kind, from vote and feature patterns counted over all candidates."""
-    counted = (
-        found.select(F.explode("loose").alias("c")).groupBy("c.kind", "c.votes", "c.features").agg(F.count("*").alias("n"))
-    ).collect()  # bounded by the number of patterns
+def vote_counts(found: DataFrame) -> list:
+    """How often each pattern of votes and features occurs per kind, over all base spans and candidates."""
+    spans = found.select(F.explode(F.concat("base", "loose")).alias("c"))
+    return spans.groupBy("c.kind", "c.votes", "c.features").agg(F.count("*").alias("n")).collect()  # bounded by the number of patterns
+
+
+def train(counted: list) -> dict[str, np.ndarray]:
+    """A span classifier per kind, from the counts of :func:`vote_counts`."""
     models = {}
     for kind in KINDS:
         rows = [r for r in counted if r["kind"] == kind]
@@ -312,7 +366,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     found = cut(found_spans(docs, id_col, text_col))
     kinds = F.array(*[F.lit(k) for k in KINDS])
     limit = float(np.log(threshold / (1 - threshold)))
-    models = train(found)
+    models = train(vote_counts(found))
 
     def good(c):
         decided = F.lit(False)
@@ -321,7 +375,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
             terms = F.zip_with(c["features"], weights, lambda feature, weight: feature * weight)
             score = F.aggregate(terms, F.lit(float(w[-1])), lambda total, term: total + term)
             decided = decided | ((c["kind"] == kind) & (score >= limit))
-        return decided
+        return decided & F.exists(c["votes"], lambda vote: vote > 0)
 
     plain = lambda c: F.struct(
         F.array_position(kinds, c["kind"]).alias("rank"), c["start"].alias("start"), c["stop"].alias("stop"), c["kind"].alias("kind")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -102,3 +103,32 @@ def test_empty_table_and_null_ids(spark):
     assert pii.detect(spark.createDataFrame([], schema)).count() == 0
     docs = spark.createDataFrame([(None, "a@b.de"), (1, "+49 30 1234567"), (1, "+49 30 1234567")], schema)
     assert sorted(len(r["spans"]) for r in pii.detect(docs).collect()) == [1, 1, 1]
+
+
+def test_query_trains_on_base_spans_and_failed_matches(spark, monkeypatch):
+    from ontarmac.llm import queries
+
+    seen, train = [], pii.train
+    monkeypatch.setattr(pii, "train", lambda counted: seen.append(counted) or train(counted))
+    folder = "/root/testdata/sf0.01"
+    queries.op9_pii(spark, folder)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    wanted = Counter(k for t in texts for k, _, _ in plain_base(t))
+    by_rule = Counter()
+    for r in seen[0]:
+        by_rule[r["kind"]] += r["n"] * (r["votes"][pii.LABELERS.index("base rules")] > 0)
+    assert +by_rule == wanted and sum(wanted.values()) > 0
+    assert set(train(seen[0])) >= set(wanted)
+
+
+def test_failed_matches_vote_and_are_not_added(spark):
+    good = ["card 4111 1111 1111 1111 there", "host 10.1.2.3 there", "call +49 30 1234567 now", "mail a.b@example.org now"]
+    bad = ["number 4111 1111 1111 1112 there", "release 300.1.2.3 there", "item 8812345 of many", "at +12.3 degrees"]
+    docs = spark.createDataFrame(list(enumerate((good + bad) * 20)), "doc_id int, text string")
+    counted = pii.vote_counts(pii.found_spans(docs))
+    rule = pii.LABELERS.index("base rules")
+    assert sorted((r["kind"], r["votes"][rule], r["n"]) for r in counted if r["votes"][rule] < 0) == [
+        ("card", -1, 20), ("ip", -1, 20), ("phone", -1, 20), ("phone", -1, 20)
+    ]
+    for r in pii.detect(docs).collect():
+        assert r["spans"] == r["base"] and len(r["spans"]) == (r["id"] % 8 < 4)

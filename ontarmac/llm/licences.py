@@ -1,7 +1,10 @@
 """Licence scans: a trained paragraph classifier, an unknown class with calibrated probabilities, and template comparison.
 
-A paragraph is a line; lines above ``WINDOW_WORDS`` words are judged in overlapping windows, so whole texts are read and a notice
-inside a long line is found. Features are word unigrams and bigrams, lower-cased and without punctuation. A sparse multinomial
+A paragraph is a line. Lines above ``WINDOW_WORDS`` words are judged in overlapping windows, and lines above ``SHORT_WORDS``
+words in short windows too, so whole texts are read and each notice inside a long line is found, a short one amid other text
+as well. Neighbouring windows of one family are one notice, whose span is that of the windows; a line that is one window
+gives its whole span. A notice of no known family counts where no window names a family, and a short window within a
+notice of another family where it holds most of a template. Features are word unigrams and bigrams, lower-cased and without punctuation. A sparse multinomial
 logistic regression is trained on varied copies of the templates below against lines of the corpus (a bounded sample of
 ``background_docs`` documents, the ids that hash lowest). Its vocabulary is the templates' n-grams, so a paragraph's
 score takes the few known words of it.
@@ -17,7 +20,9 @@ results. An empty table gives an empty result (and background lines are then non
 from __future__ import annotations
 
 import random
+import re
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +31,15 @@ from pyspark.sql import DataFrame, functions as F
 from ontarmac.llm import common
 
 WINDOW_WORDS, WINDOW_STEP = 60, 30
+SHORT_WORDS, SHORT_STEP = 20, 5
 BACKGROUND_DOCS, BACKGROUND_LINES = 300, 3000
 COPIES, ROUNDS, RATE, DECAY = 40, 250, 0.05, 2e-4
 SURE, SHARED, LEAST_GRAMS = 0.6, 0.65, 5
 OTHER, UNKNOWN = "none", "unknown"
+#: The share of a template that is most of it; windows scored at once.
+WHOLE, UNITS_AT_ONCE = 0.9, 1 << 15
 SEED = 11
+_BETWEEN_BLANKS = re.compile(r"[^\x20\x09-\x0D]+")
 _DROPPED = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != ord("-"))
 
 # fixed values: how notices of each family read
@@ -115,10 +124,15 @@ def grams_of(words: list[bytes]) -> set[bytes]:
     return {*words, *(a + b" " + b for a, b in zip(words, words[1:]))}
 
 
-def windows(words: list[bytes]) -> list[list[bytes]]:
-    if len(words) <= WINDOW_WORDS:
-        return [words]
-    return [words[i : i + WINDOW_WORDS] for i in range(0, len(words) - WINDOW_STEP, WINDOW_STEP)]
+def windows(words: list[bytes], size: int = WINDOW_WORDS, step: int = WINDOW_STEP) -> list[list[bytes]]:
+    return [words[a:b] for a, b in window_spans(len(words), size, step)]
+
+
+def window_spans(n: int, size: int = WINDOW_WORDS, step: int = WINDOW_STEP) -> list[tuple[int, int]]:
+    """The first word of each window and the one behind its last."""
+    if n <= size:
+        return [(0, n)]
+    return [(i, min(i + size, n)) for i in range(0, n - (size - step), step)]
 
 
 _TEMPLATE_GRAMS = {family: [grams_of(words_of(t.encode())) for t in texts] for family, texts in TEMPLATES.items()}
@@ -251,32 +265,83 @@ def judge_text(model: Classifier, text: str) -> list[dict]:
     return judge_texts(model, [text])[0]
 
 
+@dataclass
+class _Hit:
+    """A window taken for a notice: its words' places in the line."""
+
+    first: int
+    last: int
+    wide: bool
+    confirmed: bool
+    sure: float
+    family: str
+    whole: bool  # it holds most of a template
+
+    def meets(self, other: _Hit) -> bool:
+        return self.first < other.last and other.first < self.last
+
+
+def _notices(hits: list[_Hit]) -> list[_Hit]:
+    """The notices of a line from its windows: one per run of neighbouring windows of a family."""
+    named = [h for h in hits if h.confirmed and h.wide]
+    named += [h for h in hits if h.confirmed and not h.wide and (h.whole or not any(h.meets(w) and w.family != h.family for w in named))]
+    kept = named + [h for h in hits if not h.confirmed and not any(h.meets(c) for c in named)]
+    out: list[_Hit] = []
+    last: dict[str, _Hit] = {}
+    for h in sorted(kept, key=lambda h: (h.first, h.last)):
+        before = last.get(h.family)
+        if before and h.first <= before.last:
+            before.last, before.sure = max(before.last, h.last), max(before.sure, h.sure)
+        else:
+            last[h.family] = h
+            out.append(h)
+    return out
+
+
+def _word_places(line: str) -> list[tuple[int, int]]:
+    """Where in the line, in code points, the words of ``words_of`` are."""
+    return [m.span() for m in _BETWEEN_BLANKS.finditer(line) if m[0].encode().translate(None, _DROPPED)]
+
+
 def judge_texts(model: Classifier, texts: list[str]) -> list[list[dict]]:
     units, owners = [], []
     for t, text in enumerate(texts):
         for n, line in enumerate(text.encode().lower().translate(None, _DROPPED).split(b"\n")):
             words = line.split()
             if words:
-                for unit in windows(words):
-                    units.append(unit)
-                    owners.append((t, n))
+                spans = [(a, b, True) for a, b in window_spans(len(words))]
+                if len(words) > SHORT_WORDS:
+                    spans += [(a, b, False) for a, b in window_spans(len(words), SHORT_WORDS, SHORT_STEP)]
+                for a, b, wide in spans:
+                    units.append(words[a:b])
+                    owners.append((t, n, a, b, wide, len(words)))
     out: list[list[dict]] = [[] for _ in texts]
     if not units:
         return out
-    p = model.probabilities(units)
-    best: dict[tuple[int, int], tuple[bool, float, str]] = {}
+    p = np.concatenate([model.probabilities(units[i : i + UNITS_AT_ONCE]) for i in range(0, len(units), UNITS_AT_ONCE)])
+    hits: dict[tuple[int, int, int], list[_Hit]] = {}
     for u in np.flatnonzero(p[:, -1] < 0.5):
         top = int(np.argmax(p[u, :-1]))
         name, sure = model.classes[top], float(p[u, top])
         confirmed = name != UNKNOWN and sure >= SURE and shared(units[u], name) >= SHARED
-        if not confirmed and len(grams_of(units[u]) & model.index.keys()) < LEAST_GRAMS:
+        own = grams_of(units[u])
+        if not confirmed and len(own & model.index.keys()) < LEAST_GRAMS:
             continue
-        found = (confirmed, sure if confirmed else float(1 - p[u, -1]), name if confirmed else UNKNOWN)
-        best[owners[u]] = max(best.get(owners[u], found), found)
-    for (t, n), (_, sure, name) in sorted(best.items()):
-        lines = texts[t].split("\n")
-        start = sum(map(len, lines[:n])) + n
-        out[t].append({"family": name, "start": start, "stop": start + len(lines[n]), "probability": round(sure, 6)})
+        t, n, a, b, wide, size = owners[u]
+        whole = confirmed and any(len(own & g) >= WHOLE * len(g) for g in _TEMPLATE_GRAMS[name])
+        hit = _Hit(a, b, wide, confirmed, sure if confirmed else float(1 - p[u, -1]), name if confirmed else UNKNOWN, whole)
+        hits.setdefault((t, n, size), []).append(hit)
+    starts: dict[int, tuple[list[str], list[int]]] = {}
+    for (t, n, size), found in sorted(hits.items()):
+        if t not in starts:
+            lines = texts[t].split("\n")
+            starts[t] = lines, [0, *accumulate(len(x) + 1 for x in lines)]
+        lines, begins = starts[t]
+        places = _word_places(lines[n])
+        for h in _notices(found):
+            line_whole = h.first == 0 and h.last == size <= WINDOW_WORDS
+            start, stop = (0, len(lines[n])) if line_whole else (places[h.first][0], places[h.last - 1][1])
+            out[t].append({"family": h.family, "start": begins[n] + start, "stop": begins[n] + stop, "probability": round(h.sure, 6)})
     return out
 
 

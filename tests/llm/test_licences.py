@@ -76,3 +76,32 @@ def test_empty_table_and_null_ids(spark):
     assert licences.scan(spark.createDataFrame([], schema)).count() == 0
     docs = spark.createDataFrame([(None, "Released under the MIT License.", "x"), (1, None, None), (1, None, None)], schema)
     assert sorted(len(r["notices"]) for r in licences.scan(docs).collect()) == [0, 0, 1]
+
+
+def test_families_of_a_one_line_text(model):
+    filler = " ".join(PLAIN * 15)
+    parts = [filler, "Permission — « é » .", licences.TEMPLATES["mit"][1], filler, licences.TEMPLATES["gpl"][0], filler, "All rights reserved.", filler]
+    text = " ".join(parts)
+    found = licences.judge_text(model, text)
+    assert [n["family"] for n in found] == ["mit", "gpl", "reserved"]
+    for notice, wanted in zip(found, (parts[2], parts[4], parts[6])):
+        a, b = notice["start"], notice["stop"]
+        at = text.index(wanted)
+        assert a < at + len(wanted) and at < b and b - a < 1200
+        assert text[a : b + 1].strip() == text[a:b] and (a == 0 or text[a - 1] == " ")
+
+
+def test_short_notices_amid_long_filler(model):
+    for family, notice in (("mit", "Released under the MIT License."), ("bsd", "Released under the BSD License."), ("reserved", "All rights reserved.")):
+        for before in range(0, 60, 7):
+            words = " ".join(PLAIN * 15).split()
+            text = " ".join([*words[: 100 + before], notice, *words[:200]])
+            (found,) = licences.judge_text(model, text)
+            assert found["family"] == family
+            assert found["start"] <= text.index(notice) and text.index(notice) + len(notice) <= found["stop"]
+
+
+def test_a_family_twice_in_a_line_is_two_notices(model):
+    filler = " ".join(PLAIN * 15)
+    text = f"{filler} Released under the MIT License. {filler} Released under the MIT License. {filler}"
+    assert families(model, text) == ["mit", "mit"]

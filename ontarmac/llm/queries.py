@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontarmac.llm import exact_dedup, licences, mixing, packing, pii, pu_quality, quality_rules, simhash, token_counts, warc
+from ontarmac.llm import (
+    exact_dedup, filter_audit, licences, mixing, ngram_join, packing, period_runs, pii, pu_quality, quality_rules, simhash, token_counts, warc,
+)
 
 TOKEN_LIMIT = 4096
 
@@ -96,7 +98,24 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_licences, op3_token_counts, op4_simhash, op5_mixing, op6_quality_classifier, op7_exact_dedup, op8_packing, op9_pii, op10_warc)}
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.part_counters(spark, f"{folder}/documents.parquet", _table(spark, folder, "labels")))
+
+
+def op12_period_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = period_runs.find_runs(_table(spark, folder, "documents"), change=period_runs.looped)
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+        "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
+    )
+
+
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_join.similar(_table(spark, folder, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_licences, op3_token_counts, op4_simhash, op5_mixing, op6_quality_classifier, op7_exact_dedup, op8_packing, op9_pii, op10_warc, op11_filter_audit, op12_period_runs, op13_ngram_join)}
 
 ORACLES = {
     "op7_exact_dedup": """
@@ -128,4 +147,45 @@ ORACLES = {
             CASE WHEN page_id <> response_id THEN response_id END AS refers_to
         FROM firsts
     """,
+    "op11_filter_audit": r"""
+        WITH words AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), marked AS (
+            SELECT doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+                100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 2 * length(body) AS c,
+                regexp_matches(body, '[#$%&*|]') AS d,
+                coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false) AS e
+            FROM words
+        ), labelled AS (
+            SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask,
+                coalesce(good, 0) AS good, coalesce(bad, 0) AS bad, count(*) AS n
+            FROM marked LEFT JOIN (
+                SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id
+            ) USING (doc_id)
+            GROUP BY ALL
+        ), letters(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        orders AS (
+            SELECT v.f || w.f || x.f || y.f || z.f AS filter_order, [v.bit, w.bit, x.bit, y.bit, z.bit] AS bits
+            FROM letters v JOIN letters w ON w.f <> v.f JOIN letters x ON x.f NOT IN (v.f, w.f)
+            JOIN letters y ON y.f NOT IN (v.f, w.f, x.f) JOIN letters z ON z.f NOT IN (v.f, w.f, x.f, y.f)
+        ), steps AS (
+            SELECT filter_order, step::INT AS step, bits[step] AS own,
+                coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+            FROM orders, range(1, 6) r(step)
+        ), counted AS (
+            SELECT part, filter_order, step, own,
+                sum(CASE WHEN mask & own = 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+                sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+                sum(CASE WHEN mask & own <> 0 AND mask & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+                sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n * good ELSE 0 END)::BIGINT AS good_lost,
+                sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n * bad ELSE 0 END)::BIGINT AS toxic_lost
+            FROM labelled CROSS JOIN steps GROUP BY ALL
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+        FROM counted
+    """,
 }

@@ -18,7 +18,7 @@ from ontarmac.checks.feature_queries import feature_table
 from ontarmac.operators import features as X, summaries
 from ontarmac.plans import landing
 from ontarmac.session import cut, scratch_path
-from ontarmac.sources import archives as A, curated, listing
+from ontarmac.sources import archives as A, curated, listing, versions
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # as in the archive source
 
@@ -148,6 +148,20 @@ def landing_status(spark: SparkSession, folder: str) -> DataFrame:
     return named[0].unionByName(named[1]).unionByName(named[2]).join(landed, ["year", "month"], "left")
 
 
+def landing_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Flights per month and origin state in each version of a root: up to 1998, then late ones only from 1998 on, then one more month."""
+    landed = T.landed_flights(spark, folder)
+    log = versions.VersionLog(spark, scratch_path(spark, "curated-versions"))
+    log.write(landed.filter("year <= 1998"))
+    log.write(landed.filter("year >= 1998 and ArrDel15 = '1.00'"))
+    log.write(landed.filter("year = 1997 and month = 3").drop("OriginState"))  # a landing without a column
+    counted = [
+        log.read(n).groupBy("year", "month", "OriginState").agg(F.count("*").alias("flights")).withColumn("version", F.lit(n))
+        for n in range(1, log.latest() + 1)
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 def partitioned_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "features")
     curated.write_features(feature_table(spark, folder), path)
@@ -177,6 +191,7 @@ QUERIES = {
     "zip_ingest_roundtrip": zip_ingest_roundtrip,
     "partitioned_sink_roundtrip": partitioned_sink_roundtrip,
     "landing_status": landing_status,
+    "landing_versions": landing_versions,
     "pruned_read": pruned_read,
     "sink_split_counts": lambda s, d: summaries.split_counts(partitioned_sink_roundtrip(s, d)),
 }
@@ -234,6 +249,12 @@ ORACLES = {
         UNION ALL SELECT 2, year, month, CASE WHEN year <= 1997 THEN 'skip' ELSE 'ok' END, flights FROM months
         UNION ALL SELECT 3, year, month, CASE WHEN year <= 1997 THEN 'out of range' ELSE 'replaced' END, flights FROM months)
       SELECT run, year, month, status, flights FROM runs""",
+    "landing_versions": f"""WITH {T.FLIGHTS_SQL}, f AS (SELECT cast("Year" AS integer) AS year, cast("Month" AS integer) AS month,
+        "OriginState", "ArrDel15" = '1.00' AS late FROM flights),
+      held AS (SELECT 1 AS version, year, month, "OriginState" FROM f WHERE year <= 1998
+        UNION ALL SELECT v, year, month, CASE WHEN v < 3 OR year <> 1997 OR month <> 3 THEN "OriginState" END
+          FROM f, (VALUES (2), (3)) AS t(v) WHERE year < 1998 OR late)
+      SELECT version, year, month, "OriginState", count(*) AS flights FROM held GROUP BY ALL""",
     "zip_unpack": _LANDED_SQL,
     "zip_ingest_roundtrip": _LANDED_SQL,
     "partitioned_sink_roundtrip": f"WITH {T.FEATURES_SQL} SELECT * FROM features",

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontarmac.sources import archives as A, curated
 from ontarmac.session import cut, scratch_path
+from ontarmac.sources import archives as A, curated, versions
+
 
 def curated_rows(archives: DataFrame, header: str, spread: bool = False) -> DataFrame:
     """Rows of archives that share a header, with the year and month their file names give.
@@ -29,13 +30,14 @@ def land(
     end: str | None = None,
     overwrite: bool = False,
     hot_bytes: int = A.HOT_ARCHIVE_BYTES,
+    versioned: bool = False,
 ) -> DataFrame:
     """Convert the archives of all new months in one job; returns what was done with each archive.
 
     Without ``start`` or ``end`` that side is open. With ``overwrite`` months that exist are replaced. All archives are
-    checked before any is converted.
+    checked before any is converted. ``versioned`` lands all months or none, as a version of the root.
     """
-    done = land_files(A.read_archives(spark, input_dir), output_root, start, end, overwrite, hot_bytes)
+    done = land_files(A.read_archives(spark, input_dir), output_root, start, end, overwrite, hot_bytes, versioned)
     if done.isEmpty():
         raise ValueError("no archives found")
     return done
@@ -72,24 +74,24 @@ def land_files(
     end: str | None = None,
     overwrite: bool = False,
     hot_bytes: int = A.HOT_ARCHIVE_BYTES,
+    versioned: bool = False,
 ) -> DataFrame:
-    """:func:`land` for archives already listed; there may be none."""
+    """:func:`land` for archives already listed; there may be none. A root with versions gets a further one."""
     spark = files.sparkSession
-    todo = cut(
-        statuses(files, A.landed_months(spark, output_root), start, end, overwrite)
-        .withColumn("target", A.target_path(output_root))
-    )
+    log = versions.VersionLog(spark, output_root) if versioned or versions.is_versioned(spark, output_root) else None
+    base = log.at() if log else None
+    landed = log.months(base.number) if log else A.landed_months(spark, output_root)
+    todo = cut(statuses(files, landed, start, end, overwrite).withColumn("target", A.target_path(output_root)))
     # file names only: the driver lists these files anyway to plan the scan
     pending = todo.filter("status in ('ok', 'replaced')").select("path", "length").collect()
     if pending:
-        convert(spark, {row["path"]: row["length"] for row in pending}, output_root, hot_bytes)
+        rows = checked_rows(spark, {row["path"]: row["length"] for row in pending}, hot_bytes)
+        log.write(rows, base) if log else curated.write_curated(rows, output_root)
     return todo.select("year", "month", "path", "status", "target").orderBy("year", "month", "path")
 
 
-def convert(
-    spark: SparkSession, lengths: dict[str, int], output_root: str, hot_bytes: int = A.HOT_ARCHIVE_BYTES
-) -> None:
-    """Check the archives, then write their rows. Archives with the same header are parsed together.
+def checked_rows(spark: SparkSession, lengths: dict[str, int], hot_bytes: int = A.HOT_ARCHIVE_BYTES) -> DataFrame:
+    """The rows of archives, all of which are checked first. Archives with the same header are parsed together.
 
     Faulty archives stop the job; the message names the first of them and the table that holds the report on all.
     """
@@ -110,4 +112,4 @@ def convert(
         curated_rows(A.read_archives(spark, paths), headers[layout], spread=hot)
         for (layout, hot), paths in sorted(groups.items())
     ]
-    curated.write_curated(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), output_root)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -5,26 +5,44 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ontarmac import constants as K
+from ontarmac.sources import schemas, versions
+from ontarmac.sources.storage import Folder
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
     """Curated flights of a root, a year or a month; year and month stay columns for each of them.
 
-    Archives of different months may have different headers, so the columns of all files are taken together; a
-    month without a column has NULL there.
+    Archives of different months may have different headers, so the columns of all landings are taken together; a
+    month without a column has NULL there. The columns are those registered beside the files (see :mod:`schemas`), so no
+    footer is opened to plan the read; only a folder without a register is read by its footers. Of a root with versions
+    the latest is read.
     """
     root = re.split(r"/(?:year|month)=", path.rstrip("/"))[0]
-    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(path)
+    if versions.is_versioned(spark, root):
+        year, month = (re.search(rf"/{part}=(\d+)", path) for part in ("year", "month"))
+        return versions.VersionLog(spark, root).read(None, *(int(m[1]) if m else None for m in (year, month)))
+    known = schemas.registered(spark, root)
+    if not known:
+        return spark.read.option("basePath", root).option("mergeSchema", True).parquet(path)
+    fields = [*schemas.union(known).fields, *versions.PARTITIONS[1:]]
+    return spark.read.schema(StructType(fields)).option("basePath", root).parquet(path)
 
 
 def write_curated(flights: DataFrame, root: str) -> None:
-    """Replace the months present in ``flights``, and only those.
+    """Replace the months present in ``flights``, and only those, one by one (:class:`versions.VersionLog` replaces all or none).
 
     ``year`` and ``month`` become folders. The source columns that differ from them in case only are left
-    out; reading gives them back from the folder names.
+    out; reading gives them back from the folder names. The columns are registered before the files are there.
     """
+    spark = flights.sparkSession
+    columns = StructType([f for f in flights.schema.fields if f.name not in ("year", "month")])
+    if not schemas.registered(spark, root) and any(n.startswith("year=") for n in Folder(spark, root).names()):
+        there = spark.read.option("mergeSchema", True).parquet(root).drop("year", "month")
+        schemas.register(spark, root, there.schema)  # files from before there was a register
+    schemas.register(spark, root, columns)
     padded = flights.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
     (
         padded.write.mode("overwrite")

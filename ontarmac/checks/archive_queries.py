@@ -18,7 +18,7 @@ from ontarmac.checks.feature_queries import feature_table
 from ontarmac.operators import features as X, summaries
 from ontarmac.plans import landing
 from ontarmac.session import cut, scratch_path
-from ontarmac.sources import archives as A, curated, listing, versions
+from ontarmac.sources import archives as A, curated, listing, versions, zip_tables
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # as in the archive source
 
@@ -148,6 +148,19 @@ def landing_status(spark: SparkSession, folder: str) -> DataFrame:
     return named[0].unionByName(named[1]).unionByName(named[2]).join(landed, ["year", "month"], "left")
 
 
+def zip_source(spark: SparkSession, folder: str) -> DataFrame:
+    """All archives read through the data source, each as far as its own reader has got."""
+    blocks = zip_tables.read(spark, _archive_folder(spark, folder))
+    return landing.parsed(blocks, HEADER).select("year", "month", *OTHER_COLUMNS)
+
+
+def zip_source_months(spark: SparkSession, folder: str) -> DataFrame:
+    """What the directories of some months' archives say; the others are not opened."""
+    found = zip_tables.read(spark, _archive_folder(spark, folder), "directory")
+    some = found.filter("year in (1996, 1999) and month >= 3 and month < 9")
+    return some.select("year", "month", "is_zip", "csv_members", "header", (F.col("table_bytes") > F.length("header")).alias("has_rows"))
+
+
 def landing_versions(spark: SparkSession, folder: str) -> DataFrame:
     """Flights per month and origin state in each version of a root: up to 1998, then late ones only from 1998 on, then one more month."""
     landed = T.landed_flights(spark, folder)
@@ -192,6 +205,8 @@ QUERIES = {
     "partitioned_sink_roundtrip": partitioned_sink_roundtrip,
     "landing_status": landing_status,
     "landing_versions": landing_versions,
+    "zip_source": zip_source,
+    "zip_source_months": zip_source_months,
     "pruned_read": pruned_read,
     "sink_split_counts": lambda s, d: summaries.split_counts(partitioned_sink_roundtrip(s, d)),
 }
@@ -256,6 +271,10 @@ ORACLES = {
           FROM f, (VALUES (2), (3)) AS t(v) WHERE year < 1998 OR late)
       SELECT version, year, month, "OriginState", count(*) AS flights FROM held GROUP BY ALL""",
     "zip_unpack": _LANDED_SQL,
+    "zip_source": _LANDED_SQL,
+    "zip_source_months": f"""WITH {T.FLIGHTS_SQL} SELECT DISTINCT cast("Year" AS integer) AS year, cast("Month" AS integer) AS month,
+      true AS is_zip, 1 AS csv_members, '{HEADER}' AS header, true AS has_rows FROM flights
+      WHERE "Year" IN ('1996', '1999') AND cast("Month" AS integer) BETWEEN 3 AND 8""",
     "zip_ingest_roundtrip": _LANDED_SQL,
     "partitioned_sink_roundtrip": f"WITH {T.FEATURES_SQL} SELECT * FROM features",
     "pruned_read": f"""WITH {T.FEATURES_SQL} SELECT year, month, count(*) AS flights,

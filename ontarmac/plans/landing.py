@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontarmac.session import cut, scratch_path
-from ontarmac.sources import archives as A, curated, versions
+from ontarmac.sources import archives as A, curated, versions, zip_tables
 
 
 def curated_rows(archives: DataFrame, header: str, spread: bool = False) -> DataFrame:
@@ -16,7 +16,11 @@ def curated_rows(archives: DataFrame, header: str, spread: bool = False) -> Data
     Each archive is unpacked and parsed by one task. ``spread`` sends the text blocks of large archives
     to other tasks before parsing.
     """
-    blocks = A.manifest(A.unpack(archives))
+    return parsed(A.manifest(A.unpack(archives)), header, spread)
+
+
+def parsed(blocks: DataFrame, header: str, spread: bool = False) -> DataFrame:
+    """Rows of text blocks that share a header and have a year and month."""
     if spread:
         blocks = blocks.repartition("path", "block")
     return A.parse(blocks, header, keep=["year", "month"])
@@ -93,9 +97,14 @@ def land_files(
 def checked_rows(spark: SparkSession, lengths: dict[str, int], hot_bytes: int = A.HOT_ARCHIVE_BYTES) -> DataFrame:
     """The rows of archives, all of which are checked first. Archives with the same header are parsed together.
 
+    Archives that tasks can open are read where they are (:mod:`zip_tables`), of any size; checking reads their
+    directories and first lines. Those of stores that only Spark opens are ``binaryFile`` rows.
+
     Faulty archives stop the job; the message names the first of them and the table that holds the report on all.
     """
-    checked = A.inspect(A.read_archives(spark, list(lengths))).withColumn("layout", F.xxhash64("header"))
+    seekable = zip_tables.opens(next(iter(lengths)))
+    found = zip_tables.read(spark, list(lengths), "directory") if seekable else A.inspect(A.read_archives(spark, list(lengths)))
+    checked = found.select("path", "is_zip", "csv_members", "header", F.xxhash64("header").alias("layout"))
     path = scratch_path(spark, "archive-report")
     checked.write.parquet(path)
     report = spark.read.parquet(path)
@@ -109,7 +118,9 @@ def checked_rows(spark: SparkSession, lengths: dict[str, int], hot_bytes: int =
     for row in report.select("path", "layout").collect():
         groups.setdefault((row["layout"], lengths[row["path"]] > hot_bytes), []).append(row["path"])
     parts = [
-        curated_rows(A.read_archives(spark, paths), headers[layout], spread=hot)
+        parsed(zip_tables.read(spark, paths), headers[layout], hot)
+        if seekable
+        else curated_rows(A.read_archives(spark, paths), headers[layout], hot)
         for (layout, hot), paths in sorted(groups.items())
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

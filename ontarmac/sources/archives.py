@@ -120,15 +120,15 @@ def target_path(root: str) -> Column:
 # --- what is inside --------------------------------------------------------------------------------
 
 
-def _tables(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
+def tables_in(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
     """The members that hold tables."""
     return [member for member in archive.infolist() if PurePosixPath(member.filename).suffix.lower() == ".csv"]
 
 
-def _blocks(member) -> Iterator[str]:
-    """Whole lines in pieces of about ``BLOCK_BYTES``, from the first line that is not blank."""
+def line_blocks(member, block_bytes: int | None = None) -> Iterator[str]:
+    """Whole lines in pieces of about ``block_bytes`` (``BLOCK_BYTES``), from the first line that is not blank."""
     rest, started = b"", False
-    while piece := member.read(BLOCK_BYTES):
+    while piece := member.read(block_bytes or BLOCK_BYTES):
         held = rest + piece
         cut = (held.rfind(b"\n") + 1) or (held.rfind(b"\r", 0, -1) + 1)  # a last CR may belong to a CR LF
         block, rest = held[:cut], held[cut:]
@@ -141,14 +141,18 @@ def _blocks(member) -> Iterator[str]:
         yield (rest if started else rest.removeprefix(b"\xef\xbb\xbf").lstrip()).decode("utf-8", errors="replace")
 
 
+def lines_of(text: str) -> list[str]:
+    return re.split(_LINE_END, text)
+
+
 def _inspect(path: str, content: bytes) -> tuple:
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            tables = _tables(archive)
+            tables = tables_in(archive)
             header = None
             if len(tables) == 1:
                 with archive.open(tables[0]) as member:
-                    header = re.split(_LINE_END, next(_blocks(member), ""))[0]
+                    header = lines_of(next(line_blocks(member), ""))[0]
             return path, len(content), True, len(tables), header
     except (zipfile.BadZipFile, InflateError, EOFError):
         return path, len(content), False, 0, None
@@ -168,11 +172,11 @@ def _unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
             with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
-                tables = _tables(archive)
+                tables = tables_in(archive)
                 if len(tables) != 1:
                     raise ValueError(f"{path.as_py()}: one table is expected in an archive, not {len(tables)}")
                 with archive.open(tables[0]) as member:
-                    for i, text in enumerate(_blocks(member)):
+                    for i, text in enumerate(line_blocks(member)):
                         yield pa.RecordBatch.from_pydict(
                             {"path": [path.as_py()], "block": pa.array([i], pa.int32()), "text": [text]}
                         )

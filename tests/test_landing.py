@@ -120,7 +120,7 @@ def test_month_names(month):
 def test_blocks_hold_whole_lines(monkeypatch):
     monkeypatch.setattr(A, "BLOCK_BYTES", 7)
     text = "a,b\r\n" + "".join(f"é{i},x\r\n" for i in range(50)) + "last,é"
-    blocks = list(A._blocks(io.BytesIO(text.encode())))
+    blocks = list(A.line_blocks(io.BytesIO(text.encode())))
     assert "".join(blocks) == text and len(blocks) > 10
     assert all(b.endswith("\n") for b in blocks[:-1])
 
@@ -227,5 +227,5 @@ def test_arrivals_replace_landed_months(spark, raw, tmp_path):
 def test_lines_that_end_in_carriage_returns(monkeypatch):
     monkeypatch.setattr(A, "BLOCK_BYTES", 16)
     text = "a,b\r" + "".join(f"{i},x\r" for i in range(200))
-    blocks = list(A._blocks(io.BytesIO(text.encode())))
+    blocks = list(A.line_blocks(io.BytesIO(text.encode())))
     assert "".join(blocks) == text and max(map(len, blocks)) < 64

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontarmac.checks import tables as T
-from ontarmac.operators import features as X, history as H, summaries as S
+from ontarmac.operators import features as X, history as H, summaries as S, unleaked as U
 from ontarmac.sources import curated
 
 _FEATURES = {"train_until": T.TRAIN_UNTIL, "valid_until": T.VALID_UNTIL}
@@ -68,6 +68,8 @@ QUERIES = {
     "hist_features": history_table,
     "hist_features_shuffled": shuffled_history,
     "training_rows": training_rows,
+    "hist_leave_one_out": lambda s, d: U.history_feature_table(T.landed_flights(s, d), "leave_one_out", T.TRAIN_UNTIL, T.VALID_UNTIL),
+    "hist_as_of": lambda s, d: U.history_feature_table(T.landed_flights(s, d), "as_of", T.TRAIN_UNTIL, T.VALID_UNTIL),
     "late_routes": late_routes,
 }
 
@@ -87,7 +89,37 @@ history AS (
   CROSS JOIN overall g
 )"""
 
+def _as_of_sql(key: str) -> str:
+    """Cumulated daily counts of earlier days per key."""
+    return f"""
+daily_{key} AS (SELECT {key}, flight_date, sum(CASE WHEN split = 'train' THEN label_delay_15 ELSE 0 END) AS late,
+    sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS n FROM known GROUP BY {key}, flight_date),
+as_of_{key} AS (SELECT {key}, flight_date, sum(late) OVER w AS late, sum(n) OVER w AS n FROM daily_{key}
+  WINDOW w AS (PARTITION BY {key} ORDER BY flight_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+_AS_OF_SQL = T.FEATURES_SQL + ", known AS (SELECT *, 1 AS everything FROM features)," + ",".join(
+    _as_of_sql(key) for key in ("origin", "route", "everything")
+) + """,
+history AS (SELECT f.* EXCLUDE (everything),
+    coalesce(CASE WHEN o.n > 0 THEN o.late::double / o.n END, CASE WHEN g.n > 0 THEN g.late::double / g.n END) AS origin_hist_delay_rate,
+    coalesce(CASE WHEN r.n > 0 THEN r.late::double / r.n END, CASE WHEN g.n > 0 THEN g.late::double / g.n END) AS route_hist_delay_rate
+  FROM known f JOIN as_of_origin o ON f.origin = o.origin AND f.flight_date = o.flight_date
+  JOIN as_of_route r ON f.route = r.route AND f.flight_date = r.flight_date
+  JOIN as_of_everything g ON f.flight_date = g.flight_date)"""
+
+_LEFT_OUT_SQL = T.FEATURES_SQL + """,
+marked AS (SELECT *, CASE WHEN split = 'train' THEN label_delay_15 ELSE 0 END AS y, CASE WHEN split = 'train' THEN 1 ELSE 0 END AS t FROM features),
+sums AS (SELECT *, sum(y) OVER (PARTITION BY origin) - y AS o_late, sum(t) OVER (PARTITION BY origin) - t AS o_n,
+    sum(y) OVER (PARTITION BY route) - y AS r_late, sum(t) OVER (PARTITION BY route) - t AS r_n,
+    sum(y) OVER () - y AS g_late, sum(t) OVER () - t AS g_n FROM marked),
+history AS (SELECT * EXCLUDE (y, t, o_late, o_n, r_late, r_n, g_late, g_n),
+    CASE WHEN o_n > 0 THEN o_late::double / o_n ELSE g_late::double / g_n END AS origin_hist_delay_rate,
+    CASE WHEN r_n > 0 THEN r_late::double / r_n ELSE g_late::double / g_n END AS route_hist_delay_rate FROM sums)"""
+
 ORACLES = {
+    "hist_leave_one_out": f"WITH {_LEFT_OUT_SQL} SELECT * FROM history",
+    "hist_as_of": f"WITH {_AS_OF_SQL} SELECT * FROM history",
     "flights_view": f"WITH {T.FLIGHTS_SQL} SELECT * FROM flights",
     "valid_flights": f"WITH {T.VALID_SQL} SELECT * FROM valid",
     "feature_time": f"""WITH {T.VALID_SQL}, timed AS (SELECT *,

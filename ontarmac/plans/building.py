@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ontarmac.operators import features as X, history as H, sampling, summaries
+from ontarmac.operators import features as X, history as H, sampling, summaries, unleaked
 from ontarmac.sources import curated
 
 
@@ -16,9 +16,9 @@ def flights_for(spark: SparkSession, curated_path: str, dev_subset: bool) -> Dat
 def build_features(
     spark: SparkSession, curated_path: str, output: str, overwrite: bool = False, dev_subset: bool = False
 ) -> DataFrame:
-    """Write the 33-column feature table; returns its rows per split, counted from what was written."""
-    curated.write_features(X.feature_table(flights_for(spark, curated_path, dev_subset)), output, overwrite)
-    return summaries.split_counts(curated.read_features(spark, output))
+    """Write the 33-column feature table; returns its rows per split, counted while they are written."""
+    rows = curated.write_features(X.feature_table(flights_for(spark, curated_path, dev_subset)), output, overwrite)
+    return summaries.as_split_counts(spark, rows)
 
 
 def build_history_features(
@@ -28,15 +28,19 @@ def build_history_features(
     overwrite: bool = False,
     dev_subset: bool = False,
     rates_path: str | None = None,
+    kind: str = "train",
 ) -> DataFrame:
     """Write the 35-column feature table, of all flights or of the small development subset.
 
-    Where the rates have so many keys that joining them shuffles the flights, these are brought together by month
-    before writing. ``rates_path`` keeps the rates for scoring.
+    ``kind`` is the history: rates of the training split as they are, or without a flight's own or later labels
+    (:mod:`unleaked`). Where so many rates are joined that the flights are shuffled, these are brought together by month
+    before writing. ``rates_path`` keeps the plain rates for scoring, which requests get in either case.
     """
     flights = flights_for(spark, curated_path, dev_subset)
     rates = H.learn_rates(X.derive(flights))
     if rates_path:
         rates.save(rates_path, overwrite)
-    curated.write_features(H.history_feature_table(flights, rates=rates), output, overwrite, rates.shuffles())
-    return summaries.split_counts(curated.read_features(spark, output))
+    plain = kind == "train"
+    table = H.history_feature_table(flights, rates=rates) if plain else unleaked.history_feature_table(flights, kind)
+    rows = curated.write_features(table, output, overwrite, rates.shuffles() or kind == "as_of")
+    return summaries.as_split_counts(spark, rows)

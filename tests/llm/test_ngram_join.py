@@ -107,6 +107,19 @@ def test_linkable_sizes_share_a_class(percent):
     assert (widest - own <= 1).all()
 
 
+@pytest.mark.parametrize("percent", [20, 33, 50, 80, 95])
+def test_linked_sets_meet_in_the_screen(percent):
+    rng = random.Random(percent)
+    for _ in range(3000):
+        n = rng.randrange(1, 40)
+        common, a, b = (rng.randrange(n + 1) for _ in range(3))
+        pool = rng.sample(range(1000), common + a + b)
+        x, y = sorted(pool[: common + a]), sorted(pool[:common] + pool[common + a :])
+        if common and 100 * common >= percent * len(pool):
+            sent = [set(s[: J.screened(len(s), percent)]) for s in (x, y)]
+            assert len(sent[0] & sent[1]) >= max(1, max(len(x), len(y)) * J.SCREEN_PERCENT // 100)
+
+
 def test_query_matches_all_pairs(spark, folder):
     from ontarmac.llm import queries
 

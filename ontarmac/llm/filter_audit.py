@@ -6,8 +6,10 @@ document's mask says which it fails, and everything asked for follows from the c
 
 The files are processed as micro-batches of an available-now stream. Tasks reduce texts to masks and digests, and rows of
 one text within a slice to its smallest ids; what is left over fails ``E`` whatever else comes and is counted at once. The
-others go to a state per text, which holds the rows of the smallest id so far. These count as not failing ``E``. When a smaller id
-arrives later, they are taken back (a count of -1) and counted anew as failing, and the new ones take their place. Each
+others go to a state keyed by text, which holds the rows of the smallest id so far. These count as not failing ``E``. When a smaller id
+arrives later, they are taken back (a count of -1) and counted anew as failing, and the new ones take their place. Texts
+share a state row by a hash of their digests, about ``TEXTS_PER_BUCKET`` of the first run's in a row, as calling Python costs more than a
+text does; a row is written anew once per micro-batch. Each
 micro-batch writes the sum of its changes as a folder of its own, which a repeated batch replaces; the part counters are the
 sums over the folders. State and progress are kept below the checkpoint folder, so a lost executor or driver resumes.
 
@@ -34,15 +36,18 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ontarmac.llm import common
 from ontarmac.session import scratch_path
+from ontarmac.sources.storage import Folder
 
 FILTERS = "ABCDE"
 REPEATED = 1 << FILTERS.index("E")
 MICRO_BATCHES = 4
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # fixed values of the filters
 LEAST_WORDS, LEAST_DISTINCT_PERCENT, MOST_CAPITALS_PERCENT = 200, 50, 2
 MARKS = re.compile(rb"[#$%&*|]")
 
+TEXTS_PER_BUCKET = 4096
+LEAST_BUCKETS = 64
+
 _SEEN = "digest binary, id {}, part string, mask int, n long"
 _CHANGE = "part string, mask int, good int, toxic int, n long"
 
@@ -107,65 +112,77 @@ def _order(doc_id: str | None) -> float | int:
 
 _ROW = [("digest", pa.binary()), ("id", pa.string()), ("part", pa.string()), ("mask", pa.int32()), ("good", pa.int32()),
         ("toxic", pa.int32()), ("n", pa.int64())]
+_KEPT = "bucket int, digest binary, id string, part string, mask int, good int, toxic int, n long"
 
 
-def _slice_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the rows of a text in a slice those of the smallest id; the others are counts of documents failing ``E``.
+def _slice_firsts(buckets: int):
+    """Of the rows of a text in a slice those of the smallest id, with the text's bucket; the others are counts of documents failing ``E``.
 
-    Counts get a digest of one byte, so that they are told from texts.
+    Counts have no digest.
     """
-    schema = pa.schema(_ROW)
-    for batch in batches:
-        rows = list(zip(*(batch.column(name).to_pylist() for name, _ in _ROW)))
-        smallest: dict[bytes, float | int] = {}
-        for digest, doc_id, *_ in rows:
-            smallest[digest] = min(smallest.get(digest, math.inf), _order(doc_id))
-        kept, rest = [], {}
-        for row in rows:
-            digest, doc_id, part, failed, good, toxic, n = row
-            if _order(doc_id) == smallest[digest]:
-                kept.append(row)
-            else:
-                key = (bytes([crc32(part.encode()) % 256]), None, part, failed | REPEATED, good, toxic)
-                rest[key] = rest.get(key, 0) + n
-        kept.extend((*key, n) for key, n in rest.items())
-        columns = zip(*kept) if kept else [[]] * len(_ROW)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    schema = pa.schema([("bucket", pa.int32()), *_ROW])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = list(zip(*(batch.column(name).to_pylist() for name, _ in _ROW)))
+            smallest: dict[bytes, float | int] = {}
+            for digest, doc_id, *_ in rows:
+                smallest[digest] = min(smallest.get(digest, math.inf), _order(doc_id))
+            kept, rest = [], {}
+            for row in rows:
+                digest, doc_id, part, failed, good, toxic, n = row
+                if _order(doc_id) == smallest[digest]:
+                    kept.append((int.from_bytes(digest[:8], "big") % buckets, *row))
+                else:
+                    key = (crc32(part.encode()) % buckets, None, None, part, failed | REPEATED, good, toxic)
+                    rest[key] = rest.get(key, 0) + n
+            kept.extend((*key, n) for key, n in rest.items())
+            columns = zip(*kept) if kept else [[]] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """What the rows of a text change in the part counters, taking back what was said of a larger id."""
-    if len(key[0]) == 1:  # counts
-        for rows in batches:
-            yield rows[["part", "mask", "good", "toxic", "n"]]
-        return
-    held = json.loads(state.get[0]) if state.exists else None  # id, mask, good, toxic, [[part, n]]
-    before = held
-    counts: dict[tuple, int] = {}
-
-    def count(part: str, failed: int, good: int, toxic: int, n: int) -> None:
+    return run
+
+
+class Texts:
+    """The rows of the smallest id of each text, and what new rows change in the part counters."""
+
+    def __init__(self, held: str | None):
+        #: per digest: id, mask, good, toxic, and rows per part
+        self.held: dict[str, list] = json.loads(held) if held else {}
+        self.counts: dict[tuple, int] = {}
+
+    def count(self, part: str, failed: int, good: int, toxic: int, n: int) -> None:
         at = (part, failed, good, toxic)
-        counts[at] = counts.get(at, 0) + n
+        self.counts[at] = self.counts.get(at, 0) + n
+
+    def add(self, digest: str, doc_id: str | None, part: str, failed: int, good: int, toxic: int, n: int) -> None:
+        held = self.held.get(digest)
+        if held is not None and _order(doc_id) > _order(held[0]):
+            self.count(part, failed | REPEATED, good, toxic, n)
+            return
+        if held is None or _order(doc_id) < _order(held[0]):
+            if held is not None:  # take back what was said of the larger id
+                _, _, old_good, old_toxic, rows = held
+                for old, m in rows.items():
+                    self.count(old, failed, old_good, old_toxic, -m)
+                    self.count(old, failed | REPEATED, old_good, old_toxic, m)
+            held = self.held[digest] = [doc_id, failed, good, toxic, {}]
+        held[4][part] = held[4].get(part, 0) + n
+        self.count(part, failed, good, toxic, n)
+
 
+def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """What the rows of a bucket's texts change in the part counters."""
+    texts = Texts(state.get[0] if state.exists else None)
     for rows in batches:
-        for doc_id, part, failed, good, toxic, n in rows[["id", "part", "mask", "good", "toxic", "n"]].itertuples(index=False, name=None):
-            if held is None or _order(doc_id) < _order(held[0]):
-                for old, m in held[4] if held else []:
-                    count(old, held[1], held[2], held[3], -m)
-                    count(old, held[1] | REPEATED, held[2], held[3], m)
-                held = [doc_id, failed, good, toxic, [[part, n]]]
-                count(part, failed, good, toxic, n)
-            elif _order(doc_id) == _order(held[0]):
-                held = [*held[:4], [*held[4], [part, n]]]
-                count(part, failed, good, toxic, n)
+        for digest, *row in rows[[name for name, _ in _ROW]].itertuples(index=False, name=None):
+            if digest is None:
+                texts.count(*row[1:])
             else:
-                count(part, failed | REPEATED, good, toxic, n)
-    if held is not before:
-        sums: dict[str, int] = {}
-        for part, n in held[4]:
-            sums[part] = sums.get(part, 0) + n
-        state.update((json.dumps([*held[:4], list(sums.items())]),))
-    changed = [(*at, n) for at, n in counts.items() if n]
+                texts.add(bytes(digest).hex(), *row)
+    if texts.held:
+        state.update((json.dumps(texts.held),))
+    changed = [(*at, n) for at, n in texts.counts.items() if n]
     if changed:
         yield pd.DataFrame(changed, columns=["part", "mask", "good", "toxic", "n"])
 
@@ -197,7 +214,8 @@ def part_counters(
 ) -> DataFrame:
     """``part``, ``mask``, ``good``, ``toxic`` and the number ``n`` of such documents in the Parquet files of ``path``.
 
-    With a ``checkpoint`` and a ``target`` of its own a later call goes on with the files that have come since, taking back what they
+    The session's state store is used (``spark.sql.streaming.stateStore.providerClass``): RocksDB where the digests of all texts, about
+    150 bytes each, exceed the executors' memory. With a ``checkpoint`` and a ``target`` of its own a later call goes on with the files that have come since, taking back what they
     overrule; else all files are counted from the start.
     """
     checkpoint, target = checkpoint or scratch_path(spark, "audit-state"), target or scratch_path(spark, "audit-counts")
@@ -208,8 +226,12 @@ def part_counters(
     pattern = f"{path.rstrip('/')[:-1]}[{path.rstrip('/')[-1]}]"
     stream = spark.readStream.schema(listed.schema).option("maxFilesPerTrigger", files).parquet(pattern)
     seen = _labelled(masks(stream, id_col, text_col, part_col), labels, id_col)
-    kept = seen.mapInArrow(_slice_firsts, seen.schema)
-    changes = kept.groupBy("digest").applyInPandasWithState(
+    # the number of buckets is that of the first run with this target
+    wanted = max(LEAST_BUCKETS, math.ceil(listed.count() / TEXTS_PER_BUCKET))
+    folder = Folder(spark, target)
+    folder.publish("_buckets", str(wanted))
+    kept = seen.mapInArrow(_slice_firsts(int(folder.read("_buckets"))), _KEPT)
+    changes = kept.groupBy("bucket").applyInPandasWithState(
         _changes, _CHANGE, "held string", "update", GroupStateTimeout.NoTimeout
     )
 
@@ -220,14 +242,8 @@ def part_counters(
         sums = batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
         sums.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, STATE_STORE)  # state on disk, not in the heap; the query keeps the setting it starts with
-    try:
-        query = changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
-        query = query.trigger(availableNow=True).start()
-    finally:
-        spark.conf.set(name, before)
+    query = changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    query = query.trigger(availableNow=True).start()
     query.awaitTermination()
     written = spark.read.schema(f"{_CHANGE}, batch long").parquet(target)
     return written.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).filter("n != 0")

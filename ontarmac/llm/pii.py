@@ -390,8 +390,11 @@ def joined(spans) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
 
-def masked(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id`` and the text with each span replaced by its kind in angle brackets; of overlapping spans the first counts."""
+def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """``id`` and text of each row with each span that :func:`detect` finds replaced by its kind in angle brackets.
+
+    Of overlapping spans the first counts. Rows are told apart by id and text, so ids may be null or repeat; a null text stays null.
+    """
 
     def of(text: str | None, spans: list) -> str | None:
         if text is None:
@@ -404,5 +407,9 @@ def masked(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
         return "".join([*parts, text[at:]])
 
     replace = F.udf(of, "string", useArrow=True)
-    texts = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text"))
-    return texts.join(found, texts["doc"].eqNullSafe(found["id"])).select("id", replace("text", "spans").alias("text"))
+    digest = common.text_digest(docs[text_col])
+    rows = docs.select(F.struct(docs[id_col].alias("id"), digest.alias("digest")).alias("key"), docs[text_col].cast("string").alias("text"))
+    # rows of one id and text have the same spans
+    found = detect(rows, "key", "text", threshold).select(F.col("id").alias("found_key"), "spans").dropDuplicates(["found_key"])
+    match = F.col("key.id").eqNullSafe(F.col("found_key.id")) & (F.col("key.digest") == F.col("found_key.digest"))
+    return rows.join(found.hint("merge"), match).select("key.id", replace("text", "spans").alias("text"))

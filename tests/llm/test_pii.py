@@ -80,10 +80,18 @@ def test_added_spans_and_clean_texts(spark):
             assert rows[i] == [(kind, at, at + len(value))]
         else:
             assert rows[i] == []
-    hidden = {r["id"]: r["text"] for r in pii.masked(docs, found).collect()}
+    hidden = {r["id"]: r["text"] for r in pii.masked(docs).collect()}
     assert hidden[2] == "my social security number <ssn> is" and hidden[len(texts) - 1] is None
 
 
+def test_masking_tells_rows_apart_that_share_an_id(spark):
+    rows = [(1, "mail a@b.org now"), (1, "nothing at all here to see"), (None, "ip 1.2.3.4"), (None, "plain"), (1, None), (2, "mail a@b.org now"), (1, "mail a@b.org now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["id"], r["text"]) for r in pii.masked(docs).collect()), key=repr)
+    hidden = {"mail a@b.org now": "mail <email> now", "ip 1.2.3.4": "ip <ip>"}
+    assert got == sorted(((i, hidden.get(t, t)) for i, t in rows), key=repr)
+
+
 def test_query_matches_plain_base_spans(spark, folder):
     from ontarmac.llm import queries
 

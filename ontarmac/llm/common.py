@@ -53,6 +53,21 @@ def text_digest(text: Column, fold: bool = False) -> Column:
     return F.unhex(F.sha2(F.translate(text, UPPER, LOWER) if fold else text, 256))
 
 
+def lowest(rows: DataFrame, n: int, *key: str) -> DataFrame:
+    """The ``n`` rows whose keys hash lowest, or all; keys should not repeat much.
+
+    Rows are counted first, and only those under a hash that leaves little more than ``n`` are sorted, so that no task is sent
+    ``n`` rows from each of many others.
+    """
+    total = rows.count()
+    place = F.xxhash64(*key)
+    if total > 2 * n:
+        few = rows.filter(place < min(2**63 - 1, int(-(2**63) + 2**64 * ((1.25 * n + 100) / total))))
+        if few.count() >= n:
+            rows = few
+    return rows.orderBy(place, *key).limit(n)
+
+
 def keep_rows(
     docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: bool = False
 ) -> DataFrame:

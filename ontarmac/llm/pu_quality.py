@@ -147,10 +147,6 @@ def fold(id_col: str | Column, folds: int = FOLDS) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
-def _lowest(rows: DataFrame, n: int) -> DataFrame:
-    return rows.orderBy(F.xxhash64("id"), "id").limit(n)
-
-
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -162,20 +158,21 @@ def train(
 ) -> tuple[Network, float] | None:
     """Fit on rows outside the held-out fold: those labelled 1 against a sample of all.
 
-    The ids are drawn first; only the texts of the drawn rows (at most ``max_positive + max_unlabelled``) are measured.
+    The ids are drawn first, and of their rows (an id may have many) at most ``max_positive + max_unlabelled``; only the texts of these
+    are measured, and no more reach the driver.
     """
     good = labels.filter(labels[label_col] == 1).select(labels[id_col].alias("label_id"))
-    ids = docs.select(docs[id_col].alias("id")).filter(fold("id") != HELD_OUT)
-    positive = _lowest(ids.join(good, ids["id"] == good["label_id"], "left_semi"), max_positive)
+    ids = cut(docs.select(docs[id_col].alias("id")).filter(fold("id") != HELD_OUT).distinct())
+    positive = common.lowest(ids.join(good, ids["id"] == good["label_id"], "left_semi"), max_positive, "id")
     drawn = cut(
-        positive.distinct().withColumn("good", F.lit(True)).unionByName(
-            _lowest(ids, max_unlabelled).distinct().withColumn("good", F.lit(False))
-        )
+        positive.withColumn("good", F.lit(True)).unionByName(common.lowest(ids, max_unlabelled, "id").withColumn("good", F.lit(False)))
     )
     wanted = F.broadcast(drawn.select(F.col("id").alias("drawn_id")).distinct())
-    rows = docs.join(wanted, docs[id_col] == F.col("drawn_id"), "left_semi")
-    stats = cut(text_stats.measured(rows, id_col, text_col).select("id", "features"))
-    table = stats.join(drawn, "id").orderBy("id", "good").select("features", "good").toArrow()
+    rows = docs.join(wanted, docs[id_col] == F.col("drawn_id"), "left_semi").select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    rows = common.lowest(rows.withColumn("digest", common.text_digest(rows["text"])), max_positive + max_unlabelled, "id", "digest")
+    stats = cut(text_stats.measured(cut(rows), "id", "text").select("id", "features"))
+    table = common.lowest(stats.join(drawn, "id"), max_positive + max_unlabelled, "id", "good", "features")
+    table = table.orderBy("id", "good", "features").select("features", "good").toArrow()
     x = np.array(table.column("features").to_pylist(), float).reshape(-1, len(text_stats.FEATURES))
     is_good = table.column("good").to_numpy().astype(bool)
     return fit(x[is_good], x[~is_good]) if is_good.any() and not is_good.all() else None

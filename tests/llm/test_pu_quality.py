@@ -4,6 +4,8 @@ import zlib
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from ontarmac.llm import pu_quality
 
 
@@ -67,3 +69,20 @@ def test_empty_tables_null_ids_and_no_labels(spark):
     assert sorted((r["id"] or 0, r["score"], r["predicted"]) for r in rows) == [(0, 0.5, 1), (3, 0.5, 1), (3, 0.5, 1), (4, 0.5, 1)]
     labels = spark.createDataFrame([(3, 1), (None, 1), (4, None)], "doc_id long, quality int")
     assert pu_quality.keep_good(docs, labels).columns == docs.columns
+
+
+def test_one_id_on_many_rows_keeps_the_bounds(spark, monkeypatch):
+    rows = [(2, f"word {i} of some text") for i in range(5000)] + [(i, f"text {i}") for i in range(10, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 1), (10, 1), (11, 1)], "doc_id long, quality int")
+    held = {}
+    monkeypatch.setattr(pu_quality, "fit", lambda good, rest: held.update(rows=len(good) + len(rest)))
+    pu_quality.train(docs, labels, max_positive=5, max_unlabelled=5)
+    assert 0 < held["rows"] <= 10
+
+
+def test_lowest_is_the_whole_order_cut_off(spark):
+    rows = spark.range(5000)
+    for n in (0, 7, 1200, 2500, 6000):
+        got = {r["id"] for r in pu_quality.common.lowest(rows, n, "id").collect()}
+        assert got == {r["id"] for r in rows.orderBy(F.xxhash64("id"), "id").limit(n).collect()}

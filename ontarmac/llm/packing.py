@@ -7,9 +7,9 @@ last, which is what repeating the search would give, and then one of its lengths
 the plan has a few combinations per length at most, whatever the number of pieces.
 
 Pieces are then numbered within their length by tasks, and looked up in the plan. Numbering deals each length, which may
-hold a third of all pieces, over groups of about ``pieces_per_salt`` by document and adds the counts of the groups before.
+hold a third of all pieces, over groups of about ``pieces_per_salt`` by row and adds the counts of the groups before.
 
-Defined results: a null or empty text is the end token alone. Rows repeated with the same id are further documents. An
+Defined results: a null or empty text is the end token alone. Very long texts are encoded whole, by their words. Rows repeated with the same id are further documents. An
 empty table gives an empty result. Other columns are not looked at.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -31,6 +32,7 @@ from ontarmac.session import cut
 CAPACITY = 4096
 PIECES_PER_SALT = 2_000
 CACHED_WORDS = 800_000
+CACHED_BYTES = 64 << 20
 
 
 # --- token ids -------------------------------------------------------------------------------------
@@ -50,10 +52,11 @@ class WordEncoder:
     off by a pattern without white space. Then a text's ids are those of its words, and each word is encoded once. New
     words go to the tokenizer many at a time, with a mark of one token between them. Where the pattern is ``APART``, a
     plain word is two parts, its letters and the marks behind them, and new letters go to a copy of the tokenizer that takes
-    words apart at blanks alone: each gives one token that ends a word, its last. The cache is emptied when it is full.
+    words apart at blanks alone: each gives one token that ends a word, its last. The cache is emptied when it holds many or
+    long words.
     """
 
-    def __init__(self, path: str, end_id: int | None = 1, cached: int = CACHED_WORDS):
+    def __init__(self, path: str, end_id: int | None = 1, cached: int = CACHED_WORDS, cached_bytes: int = CACHED_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
@@ -63,7 +66,11 @@ class WordEncoder:
         self.mark = self._ids(MARK)
         self.letters_only = self._for_letters(Tokenizer.from_file(path))
         self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        self.cached, self.known, self.parts = cached, {}, {}
+        self.cached, self.cached_bytes = cached, cached_bytes
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.parts, self.bytes = {}, {}, 0
 
     def _for_letters(self, copy):
         from tokenizers import pre_tokenizers
@@ -126,19 +133,28 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.encode().split() for t in texts]
         new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > self.cached:
-            self.known, self.parts = {}, {}
+        if len(self.known) + len(new) > self.cached or self.bytes > self.cached_bytes:
+            self._forget()
             new = set().union(*words)
         self._learn(list(new))
+        self.bytes += sum(map(len, new))
         get = self.known.__getitem__
         return [b"".join(map(get, ws)) + self.end for ws in words]
 
 
+def _encoder(path: str, end_id: int | None) -> WordEncoder:
+    """This process's encoder. Spark hands a worker process one task after another, and functions arrive anew with each."""
+    held = vars(sys).setdefault("_ontarmac_word_encoders", {})
+    if (path, end_id) not in held:
+        held[path, end_id] = WordEncoder(path, end_id)
+    return held[path, end_id]
+
+
 def _pieces(path: str, end_id: int | None, capacity: int, with_ids: bool):
     size = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, end_id)
+        encoder = _encoder(path, end_id)
         for batch in batches:
             for first in range(0, batch.num_rows, common.SLICE_ROWS):
                 part = batch.slice(first, common.SLICE_ROWS)
@@ -251,13 +267,16 @@ def _slots(found: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
 
 
 def _numbered(pieces: DataFrame, salts: dict[int, int]) -> DataFrame:
-    """``number`` from 0 within each length, whose pieces are dealt over ``salts`` groups."""
+    """``number`` from 0 within each length, whose pieces are dealt over ``salts`` groups.
+
+    ``pieces`` are written, with a ``row`` that tells them apart even where ids and texts do not.
+    """
     dealt = pieces.sparkSession.createDataFrame(list(salts.items()), "length long, salts long")  # one row per length
-    spread = pieces.join(F.broadcast(dealt), "length").withColumn("salt", F.pmod(F.xxhash64("id", "piece"), "salts"))
+    spread = pieces.join(F.broadcast(dealt), "length").withColumn("salt", F.pmod(F.xxhash64("row"), "salts"))
     sums = spread.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("length", "salt").orderBy("id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "salt").orderBy("row")
     return (
         spread.withColumn("number", F.row_number().over(within) - 1)
         .join(starts, ["length", "salt"])
@@ -290,14 +309,17 @@ def _lookup(slots) -> Callable:
 def pack(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_salt: int = PIECES_PER_SALT) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces (columns as :func:`token_pieces` gives them, without ids).
 
-    The counts per length are all that reaches the driver: ``capacity`` rows at most.
+    A ``row`` that differs from piece to piece is taken where the pieces have one, else they are written with one. The counts per length are all that reaches the driver: ``capacity`` rows at most.
     """
+    columns = [c for c in pieces.columns if c != "row"]
+    if "row" not in pieces.columns:
+        pieces = cut(pieces.withColumn("row", F.monotonically_increasing_id()))
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     spark = pieces.sparkSession
     slots = spark.sparkContext.broadcast(_slots(plan(counts, capacity)))
     salts = {length: -(-n // pieces_per_salt) for length, n in counts.items()}
-    numbered = _numbered(pieces, salts).select(*pieces.columns, "number")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    numbered = _numbered(pieces, salts).select(*columns, "number")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name != "row")
     return numbered.mapInArrow(_lookup(slots), f"{schema}, sequence_id long, offset long")
 
 
@@ -310,7 +332,8 @@ def pack_documents(
     capacity: int = CAPACITY,
 ) -> DataFrame:
     """Tokenise, cut and pack whole documents: one row per piece with its place."""
-    return pack(cut(token_pieces(docs, tokenizer, id_col, text_col, end_id, capacity)), capacity)
+    pieces = token_pieces(docs, tokenizer, id_col, text_col, end_id, capacity)
+    return pack(cut(pieces.withColumn("row", F.monotonically_increasing_id())), capacity)
 
 
 def sequences(packed: DataFrame, pieces: DataFrame) -> DataFrame:

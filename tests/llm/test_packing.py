@@ -110,3 +110,23 @@ def test_empty_table_and_null_ids(spark):
     docs = spark.createDataFrame([(None, "a b", None), (1, None, None), (1, None, None)], SCHEMA)
     rows = packing.pack_documents(docs, PATH).collect()
     assert sorted(r["length"] for r in rows) == [1, 1, 3] and checked(rows, 4096) == 1
+
+
+def test_one_id_on_all_rows_is_numbered_in_many_groups(spark, monkeypatch):
+    docs = spark.createDataFrame([(7, "a b c")] * 3000 + [(None, None)] * 200, "doc_id long, text string").repartition(4)
+    pieces = packing.cut(packing.token_pieces(docs, PATH).withColumn("row", packing.F.monotonically_increasing_id()))
+    numbered = packing._numbered(pieces, {r["length"]: 10 for r in pieces.select("length").distinct().collect()})
+    for length in {r["length"] for r in numbered.select("length").distinct().collect()}:
+        numbers = sorted(r["number"] for r in numbered.filter(packing.F.col("length") == length).collect())
+        assert numbers == list(range(len(numbers)))
+    groups = pieces.filter("length > 1").withColumn("salt", packing.F.expr("pmod(xxhash64(row), 10)")).groupBy("salt").count().collect()
+    assert len(groups) == 10 and max(r["count"] for r in groups) < 500
+    checked(packing.pack(pieces).collect(), packing.CAPACITY)
+
+
+def test_caches_are_emptied_by_bytes_and_kept_per_process():
+    encoder = packing.WordEncoder(PATH, cached_bytes=1000)
+    for i in range(5):
+        encoder.encode([f"{i}" * 700])
+    assert len(encoder.known) <= 2
+    assert packing._encoder(PATH, 1) is packing._encoder(PATH, 1) is not packing._encoder(PATH, None)

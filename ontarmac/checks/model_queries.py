@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,13 +10,13 @@ from ontarmac import constants as K
 from ontarmac.checks import tables as T
 from ontarmac.checks.feature_queries import HISTORY_SQL, feature_table
 from ontarmac.checks.request_queries import LOCATED_SQL
-from ontarmac.functions import text
-from ontarmac.operators import evaluation as E, features as X, history as H, leaderboard as L, sampling, scoring as R, stages
+from ontarmac.operators import evaluation as E, features as X, history as H, leaderboard as L, sampling, scoring as R, stages, tree_tables, unleaked
 from ontarmac.plans import serving, training
 from ontarmac.session import cut, scratch_path
 from ontarmac.sources import curated
 
 SAMPLE_KEY = ["flight_date", "carrier_route", "sched_dep_minutes"]
+MODEL_COLUMNS = [*K.NUMERIC_COLUMNS, *K.CATEGORICAL_COLUMNS]
 SAMPLE_COLUMNS = [*SAMPLE_KEY, "label_delay_15", "split"]
 
 # scores that stand in for trained models, so that metrics can be checked without one; the third repeats the first
@@ -115,23 +115,52 @@ def saved_and_loaded(spark: SparkSession, comparison: training.Comparison) -> tr
     return training.ModelShelf(paths, next(iter(paths)))
 
 
+def told_otherwise(encoded: DataFrame, model, key: list[str]) -> DataFrame:
+    """``key`` and the probability worked out from what a fitted model consists of, without its own scoring.
+
+    Trees are walked as tables of nodes; a regression's coefficients are multiplied out.
+    """
+    if model.stages[-1].__class__ in tree_tables.KINDS:
+        return tree_tables.score(encoded, tree_tables.flatten(model), key)
+    coefficients = F.array(*[F.lit(float(c)) for c in model.stages[-1].coefficients.toArray()])
+    products = F.zip_with(vector_to_array("features"), coefficients, lambda x, c: x * c)
+    margin = F.aggregate(products, F.lit(float(model.stages[-1].intercept)), lambda a, b: a + b)
+    return encoded.select(*key, (1 / (1 + F.exp(-margin))).alias("table_probability"))
+
+
 def train(name: str):
-    """What holds for any fit: every flight gets one probability, the class follows it, and saving changes nothing."""
+    """What a fit says and what holds for any fit.
+
+    Every flight gets the probability that the model's own coefficients or nodes give, the class follows it, saving changes
+    nothing, and the model tells flights apart: probabilities are not one value, and are higher for late training flights.
+    """
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         comparison = compare(spark, folder, name)
         shelf, table = saved_and_loaded(spark, comparison), training_table(spark, folder)
-        p = E.class_score("probability")
-        ours = comparison.models[name].transform(table).withColumn("p", p)
-        loaded = shelf.get(name).transform(ours.select(*table.columns, F.col("p").alias("first_p"))).withColumn("p", p)
+        p, model = E.class_score("probability"), comparison.models[name]
+        ours = cut(
+            model.transform(table).select("split", "label_delay_15", "features", "prediction", p.alias("p"), *[F.col(c) for c in MODEL_COLUMNS])
+            .withColumn("row", F.monotonically_increasing_id())
+        )
+        own = ours.select("row", "split", "label_delay_15", "prediction", "p")
+        loaded = shelf.get(name).transform(ours.select("row", *MODEL_COLUMNS)).select("row", p.alias("loaded_p"))
+        both = own.join(loaded, "row").join(told_otherwise(ours, model, ["row"]), "row")
+        late = F.col("label_delay_15") == 1
+        trained = own.filter("split = 'train'").agg(
+            (F.avg(F.when(late, F.col("p"))) > F.avg(F.when(~late, F.col("p")))).alias("late_higher"),
+            (F.stddev("p") > 1e-3).alias("tells_apart"),
+        )
         return (
-            loaded.groupBy("split", "label_delay_15")
+            both.groupBy("split", "label_delay_15")
             .agg(
                 F.count("*").alias("flights"),
                 F.count_if(~F.coalesce(F.col("p").between(0, 1), F.lit(False))).alias("out_of_range"),
                 F.count_if((F.col("prediction") == 1) != (F.col("p") > 0.5)).alias("class_differs"),
-                F.count_if(F.col("p") != F.col("first_p")).alias("loaded_differs"),
+                F.count_if(F.col("p") != F.col("loaded_p")).alias("loaded_differs"),
+                F.count_if(~F.coalesce(F.abs(F.col("p") - F.col("table_probability")) <= 1e-9, F.lit(False))).alias("table_differs"),
             )
+            .join(F.broadcast(trained))  # one row
             .withColumn("model_name", F.lit(name))
         )
 
@@ -181,16 +210,23 @@ def batch_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batch_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Train, save, load and score every request; what holds for any model is compared, with the model each got."""
+    """Train, save, load and score every request, against probabilities worked out from the models' coefficients and nodes."""
     shelf = saved_and_loaded(spark, compare(spark, folder, ",".join(SERVED)))
     scored_requests, _ = serving.score_requests(batch_requests(spark, folder), shelf.all(), shelf.default)
-    p = F.col("probability_delay_15")
-    return scored_requests.select(
+    sound = R.accepted(routed(spark, folder))
+    others = []
+    for name in SERVED:
+        inputs, model = R.model_inputs(sound.filter(F.col("model_id") == name)), shelf.get(name)
+        encoded = PipelineModel(stages=model.stages[:-1]).transform(inputs)
+        others.append(told_otherwise(encoded.select("request_id", "features"), model, ["request_id"]))
+    p, q = F.col("probability_delay_15"), F.col("table_probability")
+    band = F.when(q >= 0.65, "high").when(q < 0.35, "low").otherwise("medium")  # fixed values: what the bands are
+    return scored_requests.join(others[0].unionByName(others[1]), "request_id").select(
         "request_id",
         "model_id",
-        p.between(0, 1).alias("in_range"),
-        ((F.col("prediction_delay_15") == 1) == (p > 0.5)).alias("class_agrees"),
-        (F.col("risk_band") == text.risk_band(p)).alias("band_agrees"),
+        (F.abs(p - q) <= 1e-9).alias("probability_agrees"),
+        ((F.col("prediction_delay_15") == 1) == (q > 0.5)).alias("class_agrees"),
+        (F.col("risk_band") == band).alias("band_agrees"),
         F.array_join("reasons", " ").alias("reasons"),
     )
 
@@ -231,7 +267,76 @@ def dev_subset(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.dev_subset(flights, [1998, 1999, 2000], sampling.by_hash(DEV_KEY)).select(*DEV_KEY, "year")
 
 
+EXACT_SIZES = {"train": 700, "valid": 333, "test": 1_000_000, "none": 5}
+
+
+def exact_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """A fixed number of flights of two splits and all of the third."""
+    rows = feature_table(spark, folder).select(*SAMPLE_COLUMNS)
+    return sampling.exact_sample(rows, EXACT_SIZES, SAMPLE_KEY, few=50)
+
+
+LIGHT = stages.ModelSettings(max_iter=5, rf_num_trees=3, rf_max_depth=3)
+
+
+def training_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports of a comparison read back from their JSON: the board, the columns, the record of the run, and each preview's flights."""
+    comparison = compare(spark, folder, "lr,rf", LIGHT)
+    path = scratch_path(spark, "reports")
+    training.write_reports(comparison, path)
+    board = spark.read.json(f"{path}/leaderboard").select(F.lit("board").alias("report"), F.col("train_order").cast("long").alias("place"), F.col("model_name").alias("said"))
+    schema = spark.read.json(f"{path}/feature_schema")
+    columns = schema.select(F.posexplode(F.concat("categorical_cols", "numeric_cols")).alias("place", "said"))
+    run = spark.read.schema(training.RUN_SCHEMA).json(f"{path}/run")
+    sampled = run.select(F.explode("sampled_rows").alias("said", "place"))
+    shown = [
+        spark.read.json(f"{path}/{name}_valid_predictions").select(
+            F.lit(f"preview {name}").alias("report"),
+            F.lit(0).cast("long").alias("place"),
+            F.concat_ws(" ", "carrier", "origin", "dest", F.col("label_delay_15").cast("int"), "split").alias("said"),
+        )
+        for name in ("lr", "rf")
+    ]
+    return (
+        board.unionByName(columns.select(F.lit("columns").alias("report"), F.col("place").cast("long").alias("place"), "said"))
+        .unionByName(sampled.select(F.lit("run").alias("report"), "place", "said"))
+        .unionByName(shown[0])
+        .unionByName(shown[1])
+    )
+
+
+def guards(spark: SparkSession, folder: str) -> DataFrame:
+    """The exported champion says what it said before, and what may not be done is refused: per case, flights and message."""
+    comparison, table = compare(spark, folder, "lr,rf", LIGHT), training_table(spark, folder)
+    path = scratch_path(spark, "champion")
+    name = training.export_champion(comparison, path)
+    p = E.class_score("probability")
+    both = cut(comparison.models[name].transform(X.of_split(table, "valid")).select(*MODEL_COLUMNS, p.alias("own")))
+    loaded = PipelineModel.load(path).transform(both).withColumn("p", p)
+    rows = loaded.agg(F.lit("champion").alias("what"), F.count_if(F.col("p") == F.col("own")).alias("flights"), F.lit("as before").alias("message"))
+
+    def refused(what: str, act) -> tuple:
+        try:
+            act()
+        except Exception as problem:
+            words = [w for w in ("already exists", "training split is empty", "unknown history") if w in str(problem)]
+            return what, 0, " ".join(words)
+        return what, 0, "done"
+
+    no_train = table.filter("split <> 'train'")
+    cases = [
+        refused("export over a model", lambda: training.export_champion(comparison, path)),
+        refused("export instead of a model", lambda: training.export_champion(comparison, path, overwrite=True)),
+        refused("rates of no training flights", lambda: H.learn_rates(no_train, "origin", "route")),
+        refused("left-out rates of no training flights", lambda: unleaked.leave_one_out(no_train)),
+    ]
+    return rows.unionByName(spark.createDataFrame(cases, "what string, flights long, message string"))
+
+
 QUERIES = {
+    "exact_sample": exact_sample,
+    "training_reports": training_reports,
+    "guards": guards,
     "hash_sample": lambda s, d: sampling.hash_sample(feature_table(s, d), 0.05, SAMPLE_KEY, 42).select(*SAMPLE_COLUMNS),
     "native_sample": lambda s, d: sampling.sample(feature_table(s, d), 0.05, 42).select(*SAMPLE_COLUMNS),
     "roc_pr_auc": roc_pr_auc,
@@ -326,7 +431,8 @@ routed AS (SELECT request_id, {_MODEL_SQL} AS model_id,
 
 def _train_sql(name: str) -> str:
     return f"""{_W} SELECT split, label_delay_15, count(*) AS flights, 0::bigint AS out_of_range, 0::bigint AS class_differs,
-      0::bigint AS loaded_differs, '{name}' AS model_name FROM features GROUP BY split, label_delay_15"""
+      0::bigint AS loaded_differs, 0::bigint AS table_differs, true AS late_higher, true AS tells_apart, '{name}' AS model_name
+      FROM features GROUP BY split, label_delay_15"""
 
 
 def _sample_sql(split: str, fraction: float, seed: int) -> str:
@@ -336,6 +442,22 @@ def _sample_sql(split: str, fraction: float, seed: int) -> str:
 
 
 ORACLES = {
+    "exact_sample": f"""{_W}, placed AS (SELECT {', '.join(SAMPLE_COLUMNS)}, row_number() OVER (PARTITION BY split ORDER BY
+        md5(concat_ws('|', '42', flight_date::varchar, carrier_route, sched_dep_minutes::varchar)),
+        md5(concat_ws('|', {', '.join(f'{c}::varchar' for c in SAMPLE_COLUMNS)}))) AS place FROM features)
+      SELECT {', '.join(SAMPLE_COLUMNS)} FROM placed
+      WHERE place <= CASE split {' '.join(f"WHEN '{g}' THEN {n}" for g, n in EXACT_SIZES.items())} END""",
+    "training_reports": f"""{_W}, previewed AS (SELECT concat_ws(' ', carrier, origin, dest, label_delay_15::varchar, split) AS said FROM features
+        WHERE split = 'valid' ORDER BY carrier, origin, dest, label_delay_15 LIMIT 10)
+      SELECT 'board' AS report, place::bigint AS place, said FROM (VALUES (1, 'lr'), (2, 'rf')) AS t(place, said)
+      UNION ALL SELECT 'columns', place::bigint, said FROM (VALUES
+        {', '.join(f"({i}, '{c}')" for i, c in enumerate([*K.CATEGORICAL_COLUMNS, *K.NUMERIC_COLUMNS]))}) AS c(place, said)
+      UNION ALL SELECT 'run', count(*), split FROM features GROUP BY split
+      UNION ALL SELECT 'preview ' || name, 0, said FROM previewed CROSS JOIN (VALUES ('lr'), ('rf')) AS m(name)""",
+    "guards": f"""{_W} SELECT 'champion' AS what, count(*) AS flights, 'as before' AS message FROM features WHERE split = 'valid'
+      UNION ALL SELECT * FROM (VALUES ('export over a model', 0, 'already exists'), ('export instead of a model', 0, 'done'),
+        ('rates of no training flights', 0, 'training split is empty'),
+        ('left-out rates of no training flights', 0, 'training split is empty')) AS t""",
     "train_lr": _train_sql("lr"),
     "train_rf": _train_sql("rf"),
     "train_gbt": _train_sql("gbt"),
@@ -361,7 +483,7 @@ ORACLES = {
     "batch_routing": f"WITH {_ROUTED_SQL} SELECT request_id, model_id FROM routed WHERE len(faults) = 0",
     "batch_rejects": f"""WITH {_ROUTED_SQL} SELECT request_id, array_to_string(faults, '; ') AS faults FROM routed
       WHERE len(faults) > 0""",
-    "batch_score": f"""WITH {_ROUTED_SQL} SELECT r.request_id, r.model_id, true AS in_range, true AS class_agrees,
+    "batch_score": f"""WITH {_ROUTED_SQL} SELECT r.request_id, r.model_id, true AS probability_agrees, true AS class_agrees,
       true AS band_agrees, t.reasons FROM routed r JOIN told t ON r.request_id = t.request_id WHERE len(r.faults) = 0""",
     "hash_sample": f"""{_W} SELECT {', '.join(SAMPLE_COLUMNS)} FROM features
       WHERE substr(md5(concat_ws('|', '42', flight_date::varchar, carrier_route, sched_dep_minutes::varchar)), 1, 8) < '{int(0.05 * 2**32):08x}'""",

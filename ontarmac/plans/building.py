@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ontarmac.operators import features as X, history as H, sampling, summaries, unleaked
+from ontarmac.session import own_session
 from ontarmac.sources import curated
 
 
@@ -17,8 +18,10 @@ def build_features(
     spark: SparkSession, curated_path: str, output: str, overwrite: bool = False, dev_subset: bool = False
 ) -> DataFrame:
     """Write the 33-column feature table; returns its rows per split, counted while they are written."""
-    rows = curated.write_features(X.feature_table(flights_for(spark, curated_path, dev_subset)), output, overwrite)
-    return summaries.as_split_counts(spark, rows)
+    seen = summaries.SplitWatch()
+    table = X.feature_table(flights_for(own_session(spark), curated_path, dev_subset))
+    curated.write_features(table, output, overwrite, watch=seen)
+    return summaries.as_split_counts(spark, seen.rows())
 
 
 def build_history_features(
@@ -36,11 +39,11 @@ def build_history_features(
     (:mod:`unleaked`). Where so many rates are joined that the flights are shuffled, these are brought together by month
     before writing. ``rates_path`` keeps the plain rates for scoring, which requests get in either case.
     """
-    flights = flights_for(spark, curated_path, dev_subset)
+    flights, seen = flights_for(own_session(spark), curated_path, dev_subset), summaries.SplitWatch()
     rates = H.learn_rates(X.derive(flights))
     if rates_path:
         rates.save(rates_path, overwrite)
     plain = kind == "train"
     table = H.history_feature_table(flights, rates=rates) if plain else unleaked.history_feature_table(flights, kind)
-    rows = curated.write_features(table, output, overwrite, rates.shuffles() or kind == "as_of")
-    return summaries.as_split_counts(spark, rows)
+    curated.write_features(table, output, overwrite, rates.shuffles() or kind == "as_of", seen)
+    return summaries.as_split_counts(spark, seen.rows())

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import logging
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
@@ -14,9 +18,21 @@ from ontarmac.session import scratch_job
 from ontarmac.sources import curated
 
 
+log = logging.getLogger(__name__)
+POOL = "spark.scheduler.pool"
+
+
+class TrainingFailed(RuntimeError):
+    """No model of a comparison could be trained."""
+
+
 @dataclass(frozen=True)
 class Comparison:
-    """Trained models with their metrics; ``metrics`` is long, ``board`` has one ranked row per model."""
+    """Trained models with their metrics; ``metrics`` is long, ``board`` has one ranked row per model.
+
+    ``failures`` has the message of each model that could not be trained or measured; such models are on no board. ``run`` is
+    the record of the run: what was asked for, and the rows each sample had.
+    """
 
     models: dict[str, PipelineModel]
     metrics: DataFrame
@@ -25,12 +41,42 @@ class Comparison:
     previews: dict[str, DataFrame] = field(default_factory=dict)
     numeric: list[str] = field(default_factory=lambda: list(K.NUMERIC_COLUMNS))
     categorical: list[str] = field(default_factory=lambda: list(K.CATEGORICAL_COLUMNS))
+    failures: dict[str, str] = field(default_factory=dict)
+    run: dict = field(default_factory=dict)
 
     @property
     def champion(self) -> str:
         return L.champion(self.board)
 
 
+def side_by_side(spark: SparkSession, names: list[str], work: Callable[[str], object], at_once: int) -> tuple[dict, dict[str, str]]:
+    """What ``work`` gives for each name, in the order of the names, and the messages of those it failed for.
+
+    Up to ``at_once`` run at a time, each in a scheduler pool of its own name, so that under fair scheduling (``spark.scheduler.mode``)
+    short jobs of one do not wait for long stages of another. Threads get the job properties and tags of their caller.
+    """
+    context = spark.sparkContext
+
+    def pooled(name: str):
+        before = context.getLocalProperty(POOL)
+        context.setLocalProperty(POOL, name)
+        try:
+            return work(name)
+        finally:
+            context.setLocalProperty(POOL, before)
+
+    done, failures = {}, {}
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as threads:
+        waiting = {name: threads.submit(inheritable_thread_target(spark)(pooled), name) for name in names}
+        for name, result in waiting.items():
+            try:
+                done[name] = result.result()
+            except Exception as problem:  # one model's failure leaves the others
+                failures[name] = f"{type(problem).__name__}: {problem}"
+                log.warning("%s could not be trained", name, exc_info=problem)
+    return done, failures
+
+
 def compare(
     features: DataFrame,
     models: str = "lr,rf",
@@ -44,11 +90,13 @@ def compare(
     numeric: list[str] = K.NUMERIC_COLUMNS,
     categorical: list[str] = K.CATEGORICAL_COLUMNS,
     preview_rows: int = 10,
+    at_once: int = 3,
 ) -> Comparison:
     """Train each model on the train sample and measure it on the valid and test samples.
 
     Index, one-hot and assembly are fitted once and shared; only the classifiers differ. Both evaluation
-    samples are scored in one pass per model.
+    samples are scored in one pass per model. Models are trained side by side, ``at_once`` at a time; one that fails is reported, and
+    only if all fail this is an error.
     """
     names = stages.model_names(models)
     L.selection_metric(primary_metric)
@@ -68,27 +116,46 @@ def compare(
         counted = {r["split"]: r["count"] for r in summaries.split_counts(held_out).collect()}
         rows = {"train": train.count()} | {s: counted.get(s, 0) for s in ("valid", "test")}
         spark = features.sparkSession
-        fitted, measured, previews = {}, [], {}
         # a handful of rows, the same for each model; only these are scored a second time
         few = scoring.preview_rows(X.of_split(held_out, "valid"), preview_rows)
         few = spark.createDataFrame(few.collect(), few.schema)
-        for name in names:
+
+        def trained(name: str) -> tuple[PipelineModel, list, DataFrame]:
             model = stages.classifier(name, settings).fit(train)
             predictions = model.transform(held_out)
             with scratch_job(spark):
                 metrics = E.as_long(E.evaluate(predictions, ["split"], E.class_score()), ["split"])
                 # ten numbers per model
-                measured += [(name, *r) for r in metrics.select("split", "metric", "value", "metric_name").collect()]
-            previews[name] = scoring.preview(model.transform(few), preview_rows)
-            fitted[name] = stages.assembled(encoder, model)
+                measured = [(name, *r) for r in metrics.select("split", "metric", "value", "metric_name").collect()]
+            return stages.assembled(encoder, model), measured, scoring.preview(model.transform(few), preview_rows)
+
+        done, failures = side_by_side(spark, names, trained, at_once)
     finally:
         train.unpersist()
         held_out.unpersist()
+    if not done:
+        raise TrainingFailed("; ".join(f"{name}: {message}" for name, message in failures.items()))
+    measured = [row for _, rows_of, _ in done.values() for row in rows_of]
     metrics = spark.createDataFrame(
         measured, "model_name string, split string, metric string, value double, metric_name string"
     )
-    board = L.leaderboard(metrics, names, primary_metric)
-    return Comparison(fitted, metrics, board, rows, previews, list(numeric), list(categorical))
+    board = L.leaderboard(metrics, list(done), primary_metric)
+    run = {
+        "models": names, "primary_metric": primary_metric, "min_year": min_year, "max_year": max_year,
+        "fractions": {"train": train_fraction, "valid": valid_fraction, "test": test_fraction},
+        "settings": {name: float(value) for name, value in asdict(settings).items()},
+        "sampled_rows": rows, "failures": failures,
+    }
+    return Comparison(
+        {name: model for name, (model, _, _) in done.items()}, metrics, board, rows,
+        {name: shown for name, (_, _, shown) in done.items()}, list(numeric), list(categorical), failures, run,
+    )
+
+
+RUN_SCHEMA = (
+    "models array<string>, primary_metric string, min_year int, max_year int, fractions map<string, double>, settings map<string, double>,"
+    " sampled_rows map<string, long>, failures map<string, string>"
+)
 
 
 def save_model(model: PipelineModel, path: str, overwrite: bool = False) -> None:
@@ -103,7 +170,7 @@ def export_champion(comparison: Comparison, path: str, overwrite: bool = False)
 
 
 def write_reports(comparison: Comparison, folder: str, overwrite: bool = False) -> None:
-    """Leaderboard, feature schema and prediction previews as JSON."""
+    """Leaderboard, feature schema, prediction previews and the record of the run as JSON."""
     spark = comparison.metrics.sparkSession
     schema = spark.createDataFrame(
         [(comparison.categorical, comparison.numeric, list(comparison.models))],
@@ -111,6 +178,7 @@ def write_reports(comparison: Comparison, folder: str, overwrite: bool = False)
     )
     curated.write_report(comparison.board, f"{folder}/leaderboard", overwrite)
     curated.write_report(schema, f"{folder}/feature_schema", overwrite)
+    curated.write_report(spark.createDataFrame([comparison.run], RUN_SCHEMA), f"{folder}/run", overwrite)
     for name, rows in comparison.previews.items():
         curated.write_report(rows, f"{folder}/{name}_valid_predictions", overwrite)
 

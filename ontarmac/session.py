@@ -18,11 +18,21 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A further session of the same application with the same settings, for jobs that leave traces in theirs."""
+    other = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            other.conf.set(name, value)
+    return other
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

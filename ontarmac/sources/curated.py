@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ontarmac import constants as K
-from ontarmac.operators import summaries
 from ontarmac.sources import schemas, versions
 from ontarmac.sources.storage import Folder
 
@@ -54,22 +54,23 @@ def write_curated(flights: DataFrame, root: str) -> None:
     )
 
 
-def write_features(features: DataFrame, path: str, overwrite: bool = False, rebalance: bool = False) -> dict[str, int]:
-    """Write a feature table by split, year and month; returns the rows of each split, counted while they are written.
+def write_features(
+    features: DataFrame, path: str, overwrite: bool = False, rebalance: bool = False, watch: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Write a feature table by split, year and month.
 
     Flights read from monthly folders need no shuffle: a task holds parts of few months, so there are about as
     many files as input parts. For other inputs ``rebalance`` brings months together first, and splits a month
-    that holds much of the data over several tasks.
+    that holds much of the data over several tasks. ``watch`` is put on the rows as they are written, behind that shuffle, so
+    that what it counts does not count a part again that is shuffled again.
     """
     laid_out = features.hint("rebalance", "split", "year", "month") if rebalance else features
-    counted, seen = summaries.observed_splits(laid_out)  # behind the shuffle, so a part that is shuffled again counts once
     (
-        counted.write.mode("overwrite" if overwrite else "errorifexists")
+        (watch(laid_out) if watch else laid_out).write.mode("overwrite" if overwrite else "errorifexists")
         .option("compression", "snappy")
         .partitionBy("split", "year", "month")
         .parquet(path)
     )
-    return summaries.split_rows(seen)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

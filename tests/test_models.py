@@ -232,3 +232,42 @@ def test_requests_from_json(spark, tmp_path):
     rows = {r["request_id"]: r for r in R.with_faults(serving.read_requests(spark, str(tmp_path / "r.json"))).collect()}
     assert rows["1"]["month"] is None and "month is missing" in rows["1"]["faults"]
     assert "month is missing" not in rows["2"]["faults"] and "origin is missing" in rows["2"]["faults"]
+
+
+def test_models_are_trained_side_by_side_and_failures_reported(spark):
+    import threading
+
+    context, meeting = spark.sparkContext, threading.Barrier(2, timeout=60)
+
+    def work(name):
+        if name == "bad":
+            raise RuntimeError("no such column")
+        if name != "late":
+            meeting.wait()  # passes only if both run at once
+        return context.getLocalProperty(training.POOL), spark.range(10).count()
+
+    done, failures = training.side_by_side(spark, ["a", "bad", "b", "late"], work, 4)
+    assert list(done) == ["a", "b", "late"] and done["b"] == ("b", 10)
+    assert failures == {"bad": "RuntimeError: no such column"}
+    assert context.getLocalProperty(training.POOL) is None
+    one, _ = training.side_by_side(spark, ["x", "y"], lambda name: name, 1)
+    assert one == {"x": "x", "y": "y"}
+
+
+def test_a_model_that_fails_leaves_the_others(spark, flights, monkeypatch):
+    from ontarmac.operators import features as X, stages
+
+    table, small = X.feature_table(flights, 1999, 2000), stages.ModelSettings(max_iter=2, rf_num_trees=2, rf_max_depth=2)
+    everything = {"train_fraction": 1.0, "valid_fraction": 1.0, "test_fraction": 1.0, "settings": small}
+    whole = training.compare(table, "lr,rf", **everything)
+    classifier = stages.classifier
+    monkeypatch.setattr(stages, "classifier", lambda name, s: classifier("none" if name == "rf" else name, s))
+    part = training.compare(table, "rf,lr", **everything)
+    assert list(part.models) == ["lr"] and "unsupported model" in part.failures["rf"] and part.champion == "lr"
+    of_lr = [c.metrics.filter("model_name = 'lr'").orderBy("metric_name").collect() for c in (whole, part)]
+    assert [r["metric_name"] for r in of_lr[0]] == [r["metric_name"] for r in of_lr[1]]
+    assert all(abs(a["value"] - b["value"]) < 1e-9 for a, b in zip(*of_lr))
+    assert part.run["failures"] == part.failures and part.run["sampled_rows"] == whole.run["sampled_rows"]
+    monkeypatch.setattr(stages, "classifier", lambda name, s: classifier("none", s))
+    with pytest.raises(training.TrainingFailed, match="rf: ValueError"):
+        training.compare(table, "rf", **everything)

@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ontarmac.operators import features as X, summaries, unleaked as U
+from ontarmac.operators import features as X, stages, summaries, unleaked as U
 from ontarmac.plans import building
+from ontarmac.session import own_session
 from ontarmac.sources import curated
 
 ROW = "origin string, route string, flight_date date, carrier string, sched_dep_minutes int, label_delay_15 int, split string"
@@ -118,6 +119,14 @@ def test_each_history_is_built(spark, root, tmp_path, kind):
 
 
 def test_rows_of_unknown_splits_are_counted(spark):
-    df, seen = summaries.observed_splits(spark.createDataFrame([("train",), ("x",), ("x",)], "split string"))
-    df.collect()
-    assert summaries.split_rows(seen) == {"train": 1, "other": 2}
+    seen = summaries.SplitWatch()
+    seen(own_session(spark).createDataFrame([("train",), ("x",), ("x",)], "split string")).collect()
+    assert seen.rows() == {"train": 1, "other": 2}
+
+
+def test_models_are_fitted_after_a_watched_job(spark, root, tmp_path):
+    """A session that observes cannot send a freshly fitted forest to tasks, so watched jobs have one of their own."""
+    building.build_features(spark, root, str(tmp_path / "f"))
+    rows = spark.createDataFrame([(float(i), "a", float(i % 2)) for i in range(40)], "x double, c string, label_delay_15 double")
+    model = stages.pipeline("rf", stages.ModelSettings(rf_num_trees=2, rf_max_depth=2), categorical=["c"], numeric=["x"]).fit(rows)
+    assert model.transform(rows).select("prediction").count() == len(model.transform(rows).select("prediction").collect())

@@ -14,6 +14,8 @@ from ontarmac.operators import evaluation as E, features as X, history as H, lea
 from ontarmac.plans import serving, training
 from ontarmac.session import cut, scratch_path
 from ontarmac.sources import curated
+from ontarmac.sources.storage import Folder
+from ontarmac.streaming import requests
 
 SAMPLE_KEY = ["flight_date", "carrier_route", "sched_dep_minutes"]
 MODEL_COLUMNS = [*K.NUMERIC_COLUMNS, *K.CATEGORICAL_COLUMNS]
@@ -305,6 +307,24 @@ def training_reports(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests that arrive as files in several batches, the last of which is repeated as after a failure: where each one went."""
+    comparison = compare(spark, folder, ",".join(SERVED), LIGHT)
+    path, output, seen = (scratch_path(spark, name) for name in ("arriving", "delivered", "seen"))
+    asked = batch_requests(spark, folder).withColumn("request_id", F.col("request_id").cast("string"))
+    asked.repartitionByRange(3, "request_id").write.json(path)
+    run = lambda: requests.score_arrivals(spark, path, output, seen, comparison.models, SERVED[0], files_at_once=1)
+    run()
+    commits = Folder(spark, f"{seen}/commits")
+    last = max(int(name) for name in commits.names() if name.isdigit())
+    commits.delete(str(last))  # as if the run had stopped between writing and committing
+    run()
+    scored, refused = (requests.read_delivered(spark, output, table) for table in requests.TABLES)
+    return scored.select("request_id", "model_id", F.lit("").alias("faults")).unionByName(
+        refused.select("request_id", F.lit("").alias("model_id"), F.array_join("faults", "; ").alias("faults"))
+    )
+
+
 def guards(spark: SparkSession, folder: str) -> DataFrame:
     """The exported champion says what it said before, and what may not be done is refused: per case, flights and message."""
     comparison, table = compare(spark, folder, "lr,rf", LIGHT), training_table(spark, folder)
@@ -337,6 +357,7 @@ QUERIES = {
     "exact_sample": exact_sample,
     "training_reports": training_reports,
     "guards": guards,
+    "stream_requests": stream_requests,
     "hash_sample": lambda s, d: sampling.hash_sample(feature_table(s, d), 0.05, SAMPLE_KEY, 42).select(*SAMPLE_COLUMNS),
     "native_sample": lambda s, d: sampling.sample(feature_table(s, d), 0.05, 42).select(*SAMPLE_COLUMNS),
     "roc_pr_auc": roc_pr_auc,
@@ -447,6 +468,8 @@ ORACLES = {
         md5(concat_ws('|', {', '.join(f'{c}::varchar' for c in SAMPLE_COLUMNS)}))) AS place FROM features)
       SELECT {', '.join(SAMPLE_COLUMNS)} FROM placed
       WHERE place <= CASE split {' '.join(f"WHEN '{g}' THEN {n}" for g, n in EXACT_SIZES.items())} END""",
+    "stream_requests": f"""WITH {_ROUTED_SQL} SELECT request_id::varchar AS request_id,
+      CASE WHEN len(faults) = 0 THEN model_id ELSE '' END AS model_id, array_to_string(faults, '; ') AS faults FROM routed""",
     "training_reports": f"""{_W}, previewed AS (SELECT concat_ws(' ', carrier, origin, dest, label_delay_15::varchar, split) AS said FROM features
         WHERE split = 'valid' ORDER BY carrier, origin, dest, label_delay_15 LIMIT 10)
       SELECT 'board' AS report, place::bigint AS place, said FROM (VALUES (1, 'lr'), (2, 'rf')) AS t(place, said)

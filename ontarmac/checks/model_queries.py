@@ -10,7 +10,7 @@ from ontarmac import constants as K
 from ontarmac.checks import tables as T
 from ontarmac.checks.feature_queries import HISTORY_SQL, feature_table
 from ontarmac.checks.request_queries import LOCATED_SQL
-from ontarmac.operators import evaluation as E, features as X, history as H, leaderboard as L, sampling, scoring as R, stages, tree_tables, unleaked
+from ontarmac.operators import dictionaries, evaluation as E, features as X, history as H, leaderboard as L, sampling, scoring as R, stages, tree_tables, unleaked
 from ontarmac.plans import serving, training
 from ontarmac.session import cut, scratch_path
 from ontarmac.sources import curated
@@ -74,6 +74,14 @@ def string_index(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def value_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The same indexes from dictionaries that are tables, of small parts."""
+    features = feature_table(spark, folder).select(*K.CATEGORICAL_COLUMNS, "split", "flight_date", "sched_dep_minutes")
+    learned = dictionaries.learn_all(X.of_split(features, "train"), K.CATEGORICAL_COLUMNS, values_per_part=16)
+    found = dictionaries.index_all(features, learned, salt_by=["flight_date", "sched_dep_minutes"])
+    return found.select(*K.CATEGORICAL_COLUMNS, *[F.col(f"{c}_idx").cast("int").alias(f"{c}_idx") for c in K.CATEGORICAL_COLUMNS])
+
+
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     """Width of each one-hot vector and the slot that is set."""
     columns = []
@@ -365,6 +373,7 @@ QUERIES = {
     "metrics_by_split": lambda s, d: metrics(s, d).withColumn("value", F.round("value", 9)),
     "leaderboard_champion": leaderboard,
     "string_index": string_index,
+    "value_index": value_index,
     "one_hot": one_hot,
     "assemble": assemble,
     "train_lr": train("lr"),
@@ -435,6 +444,9 @@ indexed AS (SELECT f.*, """ + ", ".join(
     f"LEFT JOIN index_{c} ON f.{c} = index_{c}.{c} CROSS JOIN width_{c}" for c in K.CATEGORICAL_COLUMNS
 ) + ")"
 
+_INDEXED_SQL = f"""WITH {_INDEX_SQL} SELECT {', '.join(K.CATEGORICAL_COLUMNS)},
+      {', '.join(f'{c}_idx' for c in K.CATEGORICAL_COLUMNS)} FROM indexed"""
+
 _VECTOR_SQL = " || ',' || ".join(
     [f"cast(cast({c} AS bigint) AS varchar)" for c in K.NUMERIC_COLUMNS]
     + [
@@ -525,8 +537,8 @@ ORACLES = {
       ranked AS (SELECT *, cast(row_number() OVER (ORDER BY valid_pr_auc DESC, train_order) AS integer) AS rank FROM board)
       SELECT rank, model_name, CASE WHEN rank = 1 THEN 'champion' ELSE 'challenger' END AS selection_status, train_order,
         round(valid_pr_auc, 9) AS selection_score, {', '.join(f'round({m}, 9) AS {m}' for m in L.METRIC_NAMES)} FROM ranked""",
-    "string_index": f"""WITH {_INDEX_SQL} SELECT {', '.join(K.CATEGORICAL_COLUMNS)},
-      {', '.join(f'{c}_idx' for c in K.CATEGORICAL_COLUMNS)} FROM indexed""",
+    "string_index": _INDEXED_SQL,
+    "value_index": _INDEXED_SQL,
     "one_hot": f"""WITH {_INDEX_SQL} SELECT {', '.join(K.CATEGORICAL_COLUMNS)},
       {', '.join(f'{c}_width, {c}_idx AS {c}_slot' for c in K.CATEGORICAL_COLUMNS)} FROM indexed""",
     "assemble": f"WITH {_INDEX_SQL} SELECT carrier_route, flight_date, {_VECTOR_SQL} AS features FROM indexed",

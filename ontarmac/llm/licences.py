@@ -5,8 +5,8 @@ words in short windows too, so whole texts are read and each notice inside a lon
 as well. Neighbouring windows of one family are one notice, whose span is that of the windows; a line that is one window
 gives its whole span. A notice of no known family counts where no window names a family, and a short window within a
 notice of another family where it holds most of a template. Features are word unigrams and bigrams, lower-cased and without punctuation. A sparse multinomial
-logistic regression is trained on varied copies of the templates below against lines of the corpus (a bounded sample of
-``background_docs`` documents, the ids that hash lowest). Its vocabulary is the templates' n-grams, so a paragraph's
+logistic regression is trained on varied copies of the templates below against lines of the corpus (a bounded sample: ``n_lines``
+lines, drawn by hash from the whole texts of ``background_docs`` documents, the ids that hash lowest). Its vocabulary is the templates' n-grams, so a paragraph's
 score takes the few known words of it.
 
 Probabilities are calibrated by a temperature fitted on copies held back. A paragraph is a notice when its probability of
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ontarmac.llm import common
+from ontarmac.session import cut
 
 WINDOW_WORDS, WINDOW_STEP = 60, 30
 SHORT_WORDS, SHORT_STEP = 20, 5
@@ -345,14 +347,26 @@ def judge_texts(model: Classifier, texts: list[str]) -> list[list[dict]]:
     return out
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of whole texts that hold a word, longer ones in windows of ``WINDOW_WORDS`` words."""
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            found = []
+            for line in text.split("\n"):
+                words = line.encode().split()
+                parts = [words[i : i + WINDOW_WORDS] for i in range(0, len(words), WINDOW_WORDS)]
+                found += [line] if len(parts) == 1 else [b" ".join(p).decode() for p in parts]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["line"])
+
+
 def background_lines(docs: DataFrame, id_col: str, text_col: str, n_docs: int, n_lines: int) -> list[bytes]:
-    """Lines of the documents whose ids hash lowest: the ids are ranked first, so few texts move."""
+    """Lines of the whole texts of the documents whose ids hash lowest, the ``n_lines`` different ones that hash lowest."""
     rows = common.two_columns(docs, id_col, text_col)
-    ids = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(n_docs)
-    texts = rows.join(F.broadcast(ids), "id").orderBy("id").limit(n_docs).select(F.substring("text", 1, 20_000).alias("text")).collect()
-    lines = [line.encode() for r in texts for line in r["text"].split("\n") if line.strip()]
-    random.Random(SEED).shuffle(lines)
-    return lines[:n_lines]
+    ids = common.lowest(rows.select("id").distinct(), n_docs, "id")
+    # an id may have many rows
+    texts = common.lowest(rows.join(F.broadcast(ids), "id").withColumn("digest", common.text_digest(F.col("text"))), n_docs, "id", "digest")
+    lines = common.lowest(cut(texts.select("text").mapInArrow(_windows, "line string").distinct()), n_lines, "line")
+    return sorted(r["line"].encode() for r in lines.collect())
 
 
 NOTICES = "array<struct<family: string, start: int, stop: int, probability: double>>"
@@ -362,10 +376,13 @@ _NOTICE_TYPE = pa.list_(
 
 
 def scan(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", background_docs: int = BACKGROUND_DOCS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", background_docs: int = BACKGROUND_DOCS, n_lines: int = BACKGROUND_LINES
 ) -> DataFrame:
-    """Per row of ``docs``: ``id`` and ``notices`` in the order of the text."""
-    model = train(background_lines(docs, id_col, text_col, background_docs, BACKGROUND_LINES))
+    """Per row of ``docs``: ``id`` and ``notices`` in the order of the text.
+
+    The class of lines that are no notice is fitted on ``n_lines`` lines of ``background_docs`` documents, drawn by hash.
+    """
+    model = train(background_lines(docs, id_col, text_col, background_docs, n_lines))
 
     def of(texts: list[str]) -> dict[str, list]:
         return {"notices": judge_texts(model, texts)}

@@ -105,3 +105,16 @@ def test_a_family_twice_in_a_line_is_two_notices(model):
     filler = " ".join(PLAIN * 15)
     text = f"{filler} Released under the MIT License. {filler} Released under the MIT License. {filler}"
     assert families(model, text) == ["mit", "mit"]
+
+
+def test_background_is_drawn_from_whole_texts(spark):
+    far = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, f"first line\n\n{far}\nlast line")] + [(2, f"line {i}") for i in range(5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = licences.background_lines(docs.filter("doc_id = 1"), "doc_id", "text", 300, 10_000)
+    words = [w for line in lines for w in line.split() if w.startswith(b"w")]
+    assert sorted(words) == sorted(far.encode().split()) and {b"first line", b"last line"} <= set(lines)
+    assert max(len(line.split()) for line in lines) <= licences.WINDOW_WORDS
+    assert len(licences.background_lines(docs, "doc_id", "text", 300, 50)) == 50
+    assert len(licences.background_lines(docs.filter("doc_id = 2"), "doc_id", "text", 7, 50)) == 7  # rows, whatever their ids
+    assert licences.background_lines(docs.limit(0), "doc_id", "text", 300, 50) == []

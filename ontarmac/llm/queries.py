@@ -188,4 +188,26 @@ ORACLES = {
             (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
         FROM counted
     """,
+    "op13_ngram_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT x, y FROM common JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * c >= 80 * (p.n + q.n - c)
+        ), reach(x, y) AS (
+            SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+        )
+        SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(r.least_id, d.doc_id)) AS component_id,
+            coalesce(l.n, 0)::BIGINT AS n_links
+        FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id
+        LEFT JOIN (SELECT x, min(y) AS least_id FROM reach GROUP BY x) r ON d.doc_id = r.x
+        LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) l ON d.doc_id = l.x
+    """,
 }

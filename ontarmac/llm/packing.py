@@ -31,8 +31,8 @@ from ontarmac.session import cut
 
 CAPACITY = 4096
 PIECES_PER_SALT = 2_000
-CACHED_WORDS = 800_000
-CACHED_BYTES = 64 << 20
+CACHED_WORDS = 150_000
+CACHED_BYTES = 8 << 20
 
 
 # --- token ids -------------------------------------------------------------------------------------
@@ -52,8 +52,8 @@ class WordEncoder:
     off by a pattern without white space. Then a text's ids are those of its words, and each word is encoded once. New
     words go to the tokenizer many at a time, with a mark of one token between them. Where the pattern is ``APART``, a
     plain word is two parts, its letters and the marks behind them, and new letters go to a copy of the tokenizer that takes
-    words apart at blanks alone: each gives one token that ends a word, its last. The cache is emptied when it holds many or
-    long words.
+    words apart at blanks alone: each gives one token that ends a word, its last. When the cache holds many or long words
+    it is set aside, and of what is set aside the words that come again are taken back until the next time.
     """
 
     def __init__(self, path: str, end_id: int | None = 1, cached: int = CACHED_WORDS, cached_bytes: int = CACHED_BYTES):
@@ -70,7 +70,8 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.parts, self.bytes = {}, {}, 0
+        """Keep what is known until the next time, so that words that come again stay and others go."""
+        self.old, self.known, self.parts, self.bytes = getattr(self, "known", {}), {}, {}, 0
 
     def _for_letters(self, copy):
         from tokenizers import pre_tokenizers
@@ -132,11 +133,14 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.encode().split() for t in texts]
-        new = set().union(*words).difference(self.known)
+        here = set().union(*words)
+        new = here.difference(self.known)
         if len(self.known) + len(new) > self.cached or self.bytes > self.cached_bytes:
             self._forget()
-            new = set().union(*words)
-        self._learn(list(new))
+            new = here
+        again = new.intersection(self.old)
+        self.known.update(zip(again, map(self.old.__getitem__, again)))
+        self._learn(list(new - again))
         self.bytes += sum(map(len, new))
         get = self.known.__getitem__
         return [b"".join(map(get, ws)) + self.end for ws in words]

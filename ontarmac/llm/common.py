@@ -54,12 +54,14 @@ def text_digest(text: Column, fold: bool = False) -> Column:
 
 
 def lowest(rows: DataFrame, n: int, *key: str) -> DataFrame:
-    """The ``n`` rows whose keys hash lowest, or all; keys should not repeat much.
+    """The ``n`` rows whose keys hash lowest, or all as they are; keys should not repeat much.
 
     Rows are counted first, and only those under a hash that leaves little more than ``n`` are sorted, so that no task is sent
     ``n`` rows from each of many others.
     """
     total = rows.count()
+    if total <= n:
+        return rows
     place = F.xxhash64(*key)
     if total > 2 * n:
         few = rows.filter(place < min(2**63 - 1, int(-(2**63) + 2**64 * ((1.25 * n + 100) / total))))

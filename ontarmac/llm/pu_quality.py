@@ -169,9 +169,13 @@ def train(
     )
     wanted = F.broadcast(drawn.select(F.col("id").alias("drawn_id")).distinct())
     rows = docs.join(wanted, docs[id_col] == F.col("drawn_id"), "left_semi").select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    rows = common.lowest(rows.withColumn("digest", common.text_digest(rows["text"])), max_positive + max_unlabelled, "id", "digest")
-    stats = cut(text_stats.measured(cut(rows), "id", "text").select("id", "features"))
-    table = common.lowest(stats.join(drawn, "id"), max_positive + max_unlabelled, "id", "good", "features")
+    bound = max_positive + max_unlabelled
+    if rows.count() > bound:  # ids have several rows: equal ones count once, and of the others some are drawn
+        marked = rows.withColumn("digest", common.text_digest(rows["text"]))
+        chosen = cut(common.lowest(marked.select("id", "digest").distinct(), bound, "id", "digest"))
+        rows = marked.join(F.broadcast(chosen), ["id", "digest"], "left_semi").groupBy("id", "digest").agg(F.any_value("text").alias("text"))
+    stats = cut(text_stats.measured(rows, "id", "text").select("id", "features"))
+    table = common.lowest(stats.join(drawn, "id"), bound, "id", "good", "features")
     table = table.orderBy("id", "good", "features").select("features", "good").toArrow()
     x = np.array(table.column("features").to_pylist(), float).reshape(-1, len(text_stats.FEATURES))
     is_good = table.column("good").to_numpy().astype(bool)

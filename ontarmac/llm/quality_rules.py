@@ -119,7 +119,8 @@ def base_failed() -> Column:
 def train(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> Trees | None:
     """Trees from the labelled rows of ``stats``: at most ``max_labelled`` of them, those whose ids hash lowest."""
     known = labels.select(labels[id_col].alias("label_id"), labels[label_col].cast("int").alias("label")).filter("label in (0, 1)")
-    rows = common.lowest(stats.join(known, stats["id"] == known["label_id"]), max_labelled, "id", "label").select("features", "label").toArrow()
+    drawn = common.lowest(stats.join(known, stats["id"] == known["label_id"]), max_labelled, "id", "label")
+    rows = drawn.orderBy(F.xxhash64("id"), "id", "label").select("features", "label").toArrow()
     y = rows.column("label").to_numpy().astype(float)
     if len(np.unique(y)) < 2:
         return None

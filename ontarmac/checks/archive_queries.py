@@ -6,11 +6,13 @@ import io
 import sys
 import zipfile
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark import cloudpickle, inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ontarmac import constants as K
 from ontarmac.checks import tables as T
@@ -46,23 +48,48 @@ def pending_months(spark: SparkSession, folder: str) -> DataFrame:
     return A.pending(months, landed.distinct()).withColumn("target", A.target_path("/curated/"))
 
 
+HEADER = ",".join(f'"{c}"' for c in K.CURATED_COLUMNS) + ","
+
+
+def csv_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """All flights as lines in the public layout: quoted values, nothing for what is missing, a trailing comma."""
+
+    def quoted(column: str) -> Column:
+        value = F.replace(F.col(column).cast("string"), F.lit('"'), F.lit(""))
+        return F.when(F.length(value) > 0, F.concat(F.lit('"'), value, F.lit('"'))).otherwise("")
+
+    landed = T.landed_flights(spark, folder).withColumnsRenamed({"year": "Year", "month": "Month"})
+    line = F.concat(F.concat_ws(",", *[quoted(c) for c in K.CURATED_COLUMNS]), F.lit(","))
+    return landed.select("Year", "Month", line.alias("line"))
+
+
+def archive_name(year: int, month: int) -> str:
+    return f"On_Time_Reporting_Carrier_On_Time_Performance_1987_present_{year}_{month}.zip"
+
+
+def write_archive(held, year: int, month: int, parts: Iterator[list[str]]) -> None:
+    """A month's archive in the public layout, its lines deflated as they come; ``held`` need not be seekable."""
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("readme.html", "<p>about</p>")
+        with archive.open(f"On_Time_{year}_{month}.CSV", "w", force_zip64=True) as member:
+            member.write(f"{HEADER}\n".encode())
+            for lines in parts:
+                if lines:
+                    member.write(("\n".join(lines) + "\n").encode())
+
+
 def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One archive per month of each batch, in the public layout: a header with a trailing comma."""
+    """One archive per month of each batch of lines."""
     for batch in batches:
         for (year, month), rows in batch.groupby(["Year", "Month"]):
-            text = rows.to_csv(index=False, quoting=1, na_rep="").replace('""', "").replace("\n", ",\n")
             held = io.BytesIO()
-            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("readme.html", "<p>about</p>")
-                archive.writestr(f"On_Time_{year}_{month}.CSV", text)
-            name = f"On_Time_Reporting_Carrier_On_Time_Performance_1987_present_{year}_{month}.zip"
-            yield pd.DataFrame({"path": [f"file:/landing/{name}"], "content": [held.getvalue()]})
+            write_archive(held, year, month, iter([list(rows["line"])]))
+            yield pd.DataFrame({"path": [f"file:/landing/{archive_name(year, month)}"], "content": [held.getvalue()]})
 
 
 def archives(spark: SparkSession, folder: str) -> DataFrame:
     """All flights packed into archives, in the form Spark reads binary files."""
-    landed = T.landed_flights(spark, folder).withColumnsRenamed({"year": "Year", "month": "Month"})
-    return landed.select(*K.CURATED_COLUMNS).mapInPandas(_zip_batches, "path string, content binary")
+    return csv_lines(spark, folder).mapInPandas(_zip_batches, "path string, content binary")
 
 
 def _damaged_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,14 +106,10 @@ def _damaged_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def damaged(spark: SparkSession, folder: str) -> DataFrame:
-    landed = T.landed_flights(spark, folder).withColumnsRenamed({"year": "Year", "month": "Month"})
-    packed = landed.select(*K.CURATED_COLUMNS).mapInPandas(_damaged_batches, "path string, content binary")
+    packed = csv_lines(spark, folder).mapInPandas(_damaged_batches, "path string, content binary")
     return cut(A.inspect(packed))
 
 
-HEADER = ",".join(f'"{c}"' for c in K.CURATED_COLUMNS) + ","
-
-
 def unzipped(spark: SparkSession, folder: str) -> DataFrame:
     return landing.curated_rows(archives(spark, folder), HEADER)
 
@@ -116,22 +139,32 @@ def archive_integrity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _archive_folder(spark: SparkSession, folder: str) -> str:
-    """Archives of all flights as files in the shared folder, one per month."""
+    """Archives of all flights as files in the shared folder, one per month.
+
+    A task reads the files of one month and deflates their lines as they come, so nothing is shuffled and no month is held.
+    """
     target = scratch_path(spark, "archives")
     uri = target if target.startswith("file:") or "://" in target else f"file://{target}"
-    landed = T.landed_flights(spark, folder).withColumnsRenamed({"year": "Year", "month": "Month"})
-
-    def write(rows: pd.DataFrame) -> pd.DataFrame:
-        files, root = pafs.FileSystem.from_uri(uri)
-        files.create_dir(root, recursive=True)
-        archive = next(_zip_batches(iter([rows])))
-        name = archive.loc[0, "path"].rpartition("/")[2]
-        with files.open_output_stream(f"{root}/{name}", compression=None) as stream:
-            stream.write(archive.loc[0, "content"])
-        return pd.DataFrame({"name": [name]})
-
-    months = landed.select(*K.CURATED_COLUMNS).groupBy("Year", "Month").applyInPandas(write, "name string")
-    months.write.format("noop").mode("overwrite").save()
+    lines = csv_lines(spark, folder)
+
+    def write_month(year: int, month: int) -> None:
+        name = archive_name(year, month)
+
+        def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            files, root = pafs.FileSystem.from_uri(uri)
+            files.create_dir(root, recursive=True)
+            with files.open_output_stream(f"{root}/{name}", compression=None) as stream:
+                write_archive(stream, year, month, (b.column(0).to_pylist() for b in batches))
+            yield pa.RecordBatch.from_pydict({"name": [name]})
+
+        own = lines.filter((F.col("Year") == year) & (F.col("Month") == month)).select("line")
+        own.coalesce(1).mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()
+
+    months = lines.select("Year", "Month").dropna().distinct().collect()  # folder names
+    with ThreadPoolExecutor(max(1, spark.sparkContext.defaultParallelism)) as threads:  # a job of one task per month
+        waiting = [threads.submit(inheritable_thread_target(spark)(write_month), *month) for month in sorted(months)]
+        for month in waiting:
+            month.result()
     return target
 
 

@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ontarmac import constants as K
+from ontarmac.checks import model_queries
+from ontarmac.operators import stages
 from ontarmac.plans import training
 
 
@@ -11,3 +14,23 @@ def test_parts_of_training_rows_are_bounded(spark):
     assert len(parts) == 10 and sum(parts) == 1000 and max(parts) < 200  # equal rows are dealt out too
     assert training.spread(one, 1000) is one
     assert training.spread(one.filter("v > 5"), 10).count() == 0
+
+
+def flown(spark):
+    """Model columns, label and split of 120 flights, each there twice."""
+    numbers = [((F.col("id") * (7 + i)) % 23).cast("double").alias(c) for i, c in enumerate(K.NUMERIC_COLUMNS)]
+    words = [F.concat(F.lit(c), (F.col("id") % (2 + i)).cast("string")).alias(c) for i, c in enumerate(K.CATEGORICAL_COLUMNS)]
+    late = ((F.col("id") * 7 % 23 > 11) | (F.col("id") % 5 == 0)).cast("int").alias(K.LABEL)
+    return spark.range(240, numPartitions=2).select((F.col("id") % 120).alias("id")).select(*numbers, *words, late, F.lit("train").alias("split"))
+
+
+def test_flights_are_told_three_ways_without_joins(spark):
+    for name in ("gbt", "lr"):
+        settings = stages.ModelSettings(max_iter=3, gbt_max_iter=2, gbt_max_depth=2)
+        model = stages.pipeline(name, settings).fit(flown(spark))
+        told = model_queries.told_three_ways(flown(spark), model, model)
+        plan = told._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+        rows = told.collect()
+        assert len(rows) == 240 and len({r["p"] for r in rows}) > 1
+        assert all(r["p"] == r["loaded_p"] and abs(r["p"] - r["table_probability"]) < 1e-9 and (r["class"] == 1) == (r["p"] > 0.5) for r in rows)

@@ -1,5 +1,7 @@
 """Training rows are dealt over enough tasks."""
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from ontarmac import constants as K
@@ -24,6 +26,16 @@ def flown(spark):
     return spark.range(240, numPartitions=2).select((F.col("id") % 120).alias("id")).select(*numbers, *words, late, F.lit("train").alias("split"))
 
 
+def test_forests_keep_places_and_stay_the_same(spark):
+    settings = stages.ModelSettings(rf_num_trees=4, rf_max_depth=4)
+    rows = Pipeline(stages=stages.feature_stages()).fit(flown(spark)).transform(flown(spark)).cache()
+    ours = stages.classifier("rf", settings)
+    plain = RandomForestClassifier(numTrees=4, maxDepth=4, seed=42, labelCol=K.LABEL)
+    assert ours.getCacheNodeIds() and ours.getCheckpointInterval() == -1
+    said = [f.fit(rows).toDebugString.split("\n", 1)[1] for f in (ours, plain)]  # the first line has the model's own id
+    assert said[0] == said[1] and "If" in said[0]
+
+
 def test_flights_are_told_three_ways_without_joins(spark):
     for name in ("gbt", "lr"):
         settings = stages.ModelSettings(max_iter=3, gbt_max_iter=2, gbt_max_depth=2)

@@ -1,10 +1,12 @@
 """Scoring requests that arrive as files."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from ontarmac.checks import model_queries
 from ontarmac.operators import features as X, stages
 from ontarmac.plans import serving, training
 from ontarmac.sources.storage import Folder
@@ -68,3 +70,14 @@ def test_a_batch_lost_on_the_way_is_written_anew(spark, models, tmp_path, monkey
 def test_unknown_tables(spark):
     with pytest.raises(ValueError, match="choose from scored, rejected"):
         requests.read_delivered(spark, "x", "other")
+
+
+def test_the_query_takes_compressed_files_in_three_batches(spark, folder, models, tmp_path, monkeypatch):
+    monkeypatch.setattr(model_queries, "compare", lambda *a: SimpleNamespace(models=models))
+    monkeypatch.setattr(model_queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    asked = model_queries.batch_requests(spark, folder).count()
+    went = model_queries.stream_requests(spark, folder)
+    assert went.count() == asked and went.select("request_id").distinct().count() == asked
+    files = [f.name for f in (tmp_path / "arriving").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 3 * model_queries.FILES_AT_ONCE and all(f.endswith(".json.gz") for f in files)
+    assert Folder(spark, str(tmp_path / "seen" / "commits")).names()[-3:] == ["0", "1", "2"]
